@@ -124,7 +124,7 @@ def grid_record(cells: Column, is_date: str = r"^\d{1,2}\.\d{1,2}\.\d{2,4}$") ->
     the two after it are response and verdict; a bare Yes or No in the response
     place is the verdict of an empty response.
     """
-    filled = F.filter(F.transform(cells, F.trim), lambda c: c != "")
+    filled = F.filter(F.transform(cells, lambda c: F.trim(c)), lambda c: c != "")
     at = F.array_position(F.transform(filled, lambda c: c.rlike(is_date)), F.lit(True)).cast("int")
     resp = F.coalesce(F.get(filled, at), F.lit(""))
     within = F.coalesce(F.get(filled, at + 1), F.lit(""))

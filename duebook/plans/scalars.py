@@ -234,7 +234,7 @@ def body_from_title(spark, sf):
 
 @query(
     "answered_title",
-    f"""SELECT k, CASE k % 7 WHEN 0 THEN 'Costs of case ' || p WHEN 2 THEN '' WHEN 3 THEN 'Report ' || (p % 500) || ': accounts'
+    f"""SELECT k, CASE k % 7 WHEN 0 THEN 'Costs of case ' || p WHEN 2 THEN 'Treasury Laws Amendment Bill ' || p WHEN 3 THEN 'Report ' || (p % 500) || ': accounts'
       WHEN 4 THEN 'future of work' WHEN 6 THEN 'Costs “again' WHEN 1 THEN '' ELSE '' END AS title FROM {orders_sql()}""",
 )
 def answered_title(spark, sf):
@@ -285,12 +285,12 @@ GRID = {
 @query(
     "grid_row_decode",
     f"""WITH g AS (SELECT *, list_filter([trim(c1), trim(c2), trim(c3), trim(c4), trim(c5)], lambda c: c <> '') AS f FROM {orders_sql(**GRID)}),
-    a AS (SELECT *, list_position(list_transform(f, lambda c: regexp_matches(c, '^[0-9]+[.][0-9]+[.][0-9]+$')), true) AS at FROM g),
-    r AS (SELECT *, coalesce(f[at + 1], '') AS resp, coalesce(f[at + 2], '') AS w FROM a)
-    SELECT k, CASE WHEN at > 1 THEN 'record' WHEN len(f) = 1 THEN 'continuation' ELSE 'skipped' END AS kind,
-      CASE WHEN at > 1 THEN array_to_string(f[1:at - 1], ' ') END AS title, CASE WHEN at > 1 THEN f[at] END AS tabled_cell,
-      CASE WHEN at > 1 THEN CASE WHEN resp IN ('Yes', 'No') THEN '' ELSE resp END END AS response,
-      CASE WHEN at > 1 THEN CASE WHEN resp IN ('Yes', 'No') THEN resp ELSE w END END AS within FROM r""",
+    a AS (SELECT *, list_position(list_transform(f, lambda c: regexp_matches(c, '^[0-9]+[.][0-9]+[.][0-9]+$')), true) AS pos FROM g),
+    r AS (SELECT *, coalesce(f[pos + 1], '') AS resp, coalesce(f[pos + 2], '') AS w FROM a)
+    SELECT k, CASE WHEN pos > 1 THEN 'record' WHEN len(f) = 1 THEN 'continuation' ELSE 'skipped' END AS kind,
+      CASE WHEN pos > 1 THEN array_to_string(f[1:pos - 1], ' ') END AS title, CASE WHEN pos > 1 THEN f[pos] END AS tabled_cell,
+      CASE WHEN pos > 1 THEN CASE WHEN resp IN ('Yes', 'No') THEN '' ELSE resp END END AS response,
+      CASE WHEN pos > 1 THEN CASE WHEN resp IN ('Yes', 'No') THEN resp ELSE w END END AS within FROM r""",
 )
 def grid_row_decode(spark, sf):
     o = orders(spark, sf, **GRID)
