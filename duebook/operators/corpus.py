@@ -67,13 +67,17 @@ def provenance(
     j = r.join(sources.select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("_body")), "doc_id", "left")
     quoted = F.concat(F.lit(r"\Q"), F.col("_probe"), F.lit(r"\E"))
     j = staged(j, _pieces=F.split(F.coalesce("_body", F.lit("")), quoted, -1))
+    # Pieces that carry the probe which precedes them, so that joining them restores the text.
+    j = staged(
+        j, _pieces=F.transform("_pieces", lambda p, i: F.when(i > 0, F.concat("_probe", p)).otherwise(p))
+    )
     above = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("_pieces") - 1, F.lit(1))),
         lambda k: F.element_at(
             F.concat(
                 F.array(F.lit("")),
                 F.regexp_extract_all(
-                    F.right(F.array_join(F.slice("_pieces", F.lit(1), k), F.col("_probe")), F.lit(look_back)),
+                    F.right(F.array_join(F.slice("_pieces", F.lit(1), k), ""), F.lit(look_back)),
                     F.lit(label_rx),
                     F.lit(1),
                 ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -57,7 +58,8 @@ def stated_totals(df: DataFrame, stated: DataFrame, source: str, rule: str) -> D
 
 def not_shrunk(before: DataFrame, after: DataFrame, name: str) -> DataFrame:
     """A table never shrinks: (table, before, after, verdict)."""
-    counts = before.agg(F.count("*").alias("before")).crossJoin(after.agg(F.count("*").alias("after")))
+    both = before.select(F.lit(0).alias("_side")).unionByName(after.select(F.lit(1).alias("_side")))
+    counts = both.agg(F.count_if(F.col("_side") == 0).alias("before"), F.count_if(F.col("_side") == 1).alias("after"))
     return counts.select(
         F.lit(name).alias("table"),
         "before",
@@ -73,6 +75,48 @@ def expect(rule: str, df: DataFrame, holds: Column, detail: Column) -> DataFrame
     )
 
 
+def volume(df: DataFrame, key: str, held: str, seen: str, new: str, least_share: float = 0.9, most_new: int = 200, least: int = 40) -> DataFrame:
+    """Implausible volumes per key: fewer than a share of what is held, too much new, too few."""
+    return violations(
+        df,
+        {
+            f"fewer than {least_share:.0%} of held": F.col(seen) < least_share * F.col(held),
+            f"more than {most_new} new": F.col(new) > most_new,
+            f"fewer than {least} rows": F.col(seen) < least,
+        },
+        F.col(key),
+    )
+
+
+def claims(briefs: DataFrame, patterns: list[tuple[str, list[Column]]], text: str = "text", places: int = 4) -> DataFrame:
+    """Figures a text prints against the metrics on its row, at the precision it prints.
+
+    A pattern has ``{}`` where a figure stands, and one column per figure. One output
+    row per figure: the claim's number, what is said, what it should read, the outcome.
+    """
+    flat = F.regexp_replace(text, r"\s+", " ")
+    out = []
+    for n, (pattern, wants) in enumerate(patterns):
+        rx = r"([\d,]+(?:\.\d+)?)".join(re.escape(part) for part in pattern.split("{}"))
+        for i, want in enumerate(wants, 1):
+            said = F.regexp_extract(flat, rx, i)
+            got = F.regexp_replace(said, ",", "").try_cast("double")
+            digits = F.length(F.regexp_extract(said, r"\.(\d+)$", 1))
+            w, g = F.lit(None).cast("double"), F.lit(None).cast("double")
+            for p in range(places, -1, -1):
+                w = F.when(digits == p, F.bround(want.cast("double"), p)).otherwise(w)
+                g = F.when(digits == p, F.bround(got, p)).otherwise(g)
+            out.append(
+                F.struct(
+                    F.lit(n).alias("claim"),
+                    F.lit(i).alias("figure"),
+                    said.alias("said"),
+                    F.when(said == "", "not said").when(w == g, "agrees").otherwise("moved").alias("outcome"),
+                )
+            )
+    return briefs.select("id", F.explode(F.array(*out)).alias("c")).select("id", "c.*")
+
+
 def append_once(held: DataFrame, source: Column) -> DataFrame:
     """One row when rows of a source are already there, so appending again would double them."""
     return (

@@ -377,7 +377,7 @@ SOURCE_LABEL = r"(?i)Recommendation\s*(?:no\.?\s*)?(\d{1,3}(?:\.\d{1,3})?)"
 
 @query(
     "provenance_check",
-    f"""WITH {FOUND} SELECT CASE WHEN doc_id % 10 = 3 AND asked NOT LIKE 'The Aus%' THEN 'text not in source' WHEN doc_id % 10 = 3 THEN 'text not in source' WHEN doc_id % 10 = 7 THEN 'label does not match' ELSE 'verified' END AS outcome, count(*) AS rows FROM found GROUP BY 1""",
+    f"""WITH {FOUND} SELECT CASE WHEN doc_id % 10 = 3 THEN 'text not in source' WHEN doc_id % 10 = 7 THEN 'label does not match' ELSE 'verified' END AS outcome, count(*) AS rows FROM found GROUP BY 1""",
 )
 def provenance_check(spark, sf):
     """Every quotation against its source, with planted faults: a changed word, a wrong label."""
@@ -509,8 +509,8 @@ def reports(spark, sf):
 REPORTS_SQL = """b AS (SELECT o_orderkey AS doc_id, o_custkey AS p, i, 'The committee recommends that program ' || o_custkey || ' be extended by ' || i || ' years' AS asked, '' AS author, '' AS basis
     FROM orders, range(1, 5) g(i) WHERE i <= o_orderkey % 4 + 1),
   x AS (SELECT doc_id, i, asked, author, basis FROM b
-    UNION ALL SELECT o_orderkey, 8, 'That the funding of program ' || o_custkey || ' be doubled at once', 'Dissenting Report - Senator Jane Roe', 'section' FROM orders WHERE o_orderkey % 3 = 0
-    UNION ALL SELECT o_orderkey, 9, 'Australian Greens recommend that program ' || o_custkey || ' be closed now', 'Greens', 'named' FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT o_orderkey, 8, 'That the funding of program ' || o_custkey || ' be doubled at once', 'Dissenting Report', 'section' FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT o_orderkey, 9, 'Australian Greens recommend that program ' || o_custkey || ' be closed now', 'Australian Greens', 'named' FROM orders WHERE o_orderkey % 3 = 0
     UNION ALL SELECT o_orderkey, 8, 'I recommend that program ' || o_custkey || ' be closed without delay', 'Ms Kate Lane', 'signed' FROM orders WHERE o_orderkey % 3 = 1)"""
 
 

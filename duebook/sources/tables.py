@@ -81,12 +81,13 @@ def read_typography(spark: SparkSession, glob: str) -> DataFrame:
     ).where(F.col("font") != "")
 
 
-LINE = r"^\s*(\d{1,2})-(\d{1,2})-(\d{4})\s*~\s*(.*?)\s*~\s*(.+?)\s*$"
+# Fixed value.
+LINE = r"^(\d{2})-(\d{2})-(\d{4}) ~ (.+?) ~ (.+)$"
 
 
 def parse_lines(lines: DataFrame, after: Column, value: str = "value") -> DataFrame:
-    """``D-M-YYYY ~ body ~ title`` lines: kept, older than the cut-off, or malformed."""
-    v = F.col(value)
+    """``DD-MM-YYYY ~ body ~ title`` lines: kept, older than the cut-off, or malformed."""
+    v = F.trim(value)
     tabled = F.to_date(
         F.try_to_timestamp(
             F.concat_ws(
@@ -101,8 +102,8 @@ def parse_lines(lines: DataFrame, after: Column, value: str = "value") -> DataFr
     return lines.select(
         "*",
         tabled.alias("tabled"),
-        F.regexp_extract(v, LINE, 4).alias("body"),
-        F.regexp_extract(v, LINE, 5).alias("title"),
+        F.trim(F.regexp_extract(v, LINE, 4)).alias("body"),
+        F.trim(F.regexp_extract(v, LINE, 5)).alias("title"),
     ).withColumn(
         "outcome",
         F.when(F.col("tabled").isNull(), "malformed")
