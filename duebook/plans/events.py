@@ -20,7 +20,7 @@ def events(spark, sf):
 
 def stream_of_events(spark, sf):
     """The landed events as a stream; the time column becomes a timestamp for the watermark."""
-    return increments.landed(spark, f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return increments.landed(spark, sf, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query(

@@ -28,10 +28,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "duebook", f"{name}-{uuid.uuid4().hex}")
 
 
-def landed(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """A stream over landed parquet files; their schema is read from the files once."""
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def landed(spark: SparkSession, folder: str, glob: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
+    """A stream over the landed parquet files of a folder; their schema is read from them once."""
+    schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", glob)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(folder)
+    )
 
 
 def drain(stream: DataFrame, folder: str, each: Callable[[DataFrame, int], None], mode: str) -> None:
