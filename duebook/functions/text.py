@@ -11,7 +11,8 @@ TRAILING = (
     r"(?i)(?:\s+(?:Response|Government\s+response|Australian\s+Government\s+response)\s*:?\s*"
     r"|\s+\d{1,3})\s*$"
 )
-EDGES = r" .:;\-—–•"
+WHITE = " \t\n\x0b\f\r"
+EDGES = " .:;-—–•"
 LEADERS = r"[.…]{6,}"
 LIST_MARKER = r"(?<![\w'’])\(?[a-h]\)?[.)]"
 STRAY = r"(?<![\w'’])[B-HJ-Zb-hj-z](?![\w'’])"
@@ -33,7 +34,7 @@ ANSWERED_TITLES = (
     r"(?i)\breport\s+(Report\s+\d{1,4}\b.*)$",
     r"(?i)\bresponse\s+(?:to\s+)?(?:the\s+)?(.+\bBills?\b.+)$",
 )
-QUOTE_EDGES = r" :;,.\-–—'\"“”‘’"
+QUOTE_EDGES = " :;,.-–—'\"“”‘’"
 FOOTNOTE_TAIL = r"(?<=[a-z)])(?:i{1,3}|iv|vi{0,3}|ix|xi{0,3})$"
 PAGE_NUMBER = r"^\s*\d{1,4}\s+|\s+\d{1,4}\s*$"
 SENTENCE_STOP = r"[.!?][”’\")\]]?(?=\s+[\"“(A-Z0-9]|$)"
@@ -42,9 +43,14 @@ TRAILING_HEADING = 120
 TRAILING_SENTENCE = 300
 
 
-def strip(text: Column, edges: str = r"\s") -> Column:
-    """Take a class of characters off both ends."""
-    return F.regexp_replace(text, rf"^[{edges}]+|[{edges}]+$", "")
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
+def strip(text: Column, edges: str = WHITE) -> Column:
+    """Take a set of characters off both ends."""
+    return F.btrim(text, F.lit(edges))
 
 
 def squeeze(text: Column) -> Column:
@@ -52,13 +58,34 @@ def squeeze(text: Column) -> Column:
     return strip(F.regexp_replace(text, r"\s+", " "))
 
 
+TAIL = 150
+
+
 def tidy(text: Column, edges: str = EDGES) -> Column:
-    """A quotation without the page's paragraph numbers, page numbers and dangling labels."""
+    """A quotation without the page's paragraph numbers, page numbers and dangling labels.
+
+    Labels are taken off the end up to three times. They are looked for in the last
+    characters only, which hold all of them unless hardly any text is left there; then
+    the whole text is read.
+    """
     s = strip(F.regexp_replace(text, r"\s+", " "), edges)
-    s = F.regexp_replace(F.regexp_replace(s, PARA_NO, ""), REPEAT_NO, "")
-    for _ in range(3):
-        s = strip(F.regexp_replace(s, TRAILING, ""), edges)
-    return s
+    s = F.ltrim(F.regexp_replace(F.regexp_replace(s, PARA_NO, ""), REPEAT_NO, ""), F.lit(edges))
+
+    def shorten(t: Column) -> Column:
+        for _ in range(3):
+            t = F.rtrim(F.regexp_replace(t, TRAILING, ""), F.lit(edges))
+        return t
+
+    return bind(
+        s,
+        lambda s: bind(
+            shorten(F.right(s, F.lit(TAIL))),
+            lambda t: F.when(
+                (F.length(s) > TAIL) & (F.length(t) > TAIL // 2),
+                F.concat(F.substring(s, F.lit(1), F.length(s) - TAIL), t),
+            ).otherwise(F.when(F.length(s) > TAIL, shorten(s)).otherwise(t)),
+        ),
+    )
 
 
 def mangled(text: Column) -> Column:
@@ -128,7 +155,7 @@ def split_title_body(line: Column) -> tuple[Column, Column]:
 def body_from_title(title: Column, longest: int = 120) -> Column:
     """The body a response title names, or blank."""
     name = strip(
-        F.regexp_replace(F.regexp_extract(title, BODY_IN_TITLE, 1), r"\s+", " "), r" ,:–—\-"
+        F.regexp_replace(F.regexp_extract(title, BODY_IN_TITLE, 1), r"\s+", " "), " ,:–—-"
     )
     return F.when(name.rlike(BODY_WORD) & (F.length(name) <= longest), name).otherwise("")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from duebook.functions import text as tx, wording
 from duebook.functions.wording import Rules
-from duebook.operators.fence import staged
+from duebook.operators.fence import by_document, staged
 
 
 def classify(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
@@ -62,9 +62,12 @@ def provenance(
     nearest label above it must be the row's.
     """
     flat = tx.squeeze(F.col("asked"))
+    r = by_document(rows.withColumn("_flat", flat), "doc_id")
+    flat = F.col("_flat")
     probe = F.when(F.length(flat) > 190, F.substring(flat, 41, 160 if long_probe else 130)).otherwise(F.right(flat, F.lit(100)))
-    r = staged(rows.withColumn("_n", F.length(flat)), _probe=probe)
-    j = r.join(sources.select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("_body")), "doc_id", "left")
+    r = staged(r, _probe=probe).drop("_flat")
+    docs = by_document(sources.select("doc_id", "text"), "doc_id")
+    j = r.join(docs.select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("_body")), "doc_id", "left")
     quoted = F.concat(F.lit(r"\Q"), F.col("_probe"), F.lit(r"\E"))
     j = staged(j, _pieces=F.split(F.coalesce("_body", F.lit("")), quoted, -1))
     # Pieces that carry the probe which precedes them, so that joining them restores the text.
@@ -95,7 +98,7 @@ def provenance(
         .when(F.forall("_above", lambda x: x == ""), "no label above it")
         .otherwise("label does not match")
     )
-    return j.withColumn("outcome", outcome).drop("_n", "_probe", "_body", "_pieces", "_above")
+    return j.withColumn("outcome", outcome).drop("_probe", "_body", "_pieces", "_above")
 
 
 def verified_share(checked: DataFrame, floor: float) -> DataFrame:
@@ -123,9 +126,9 @@ def answer_context(rows: DataFrame, sources: DataFrame, needles=(400, 240, 160,
 
     ``rows`` has (doc_id, label, said); ``sources`` has (doc_id, text).
     """
-    r = staged(rows, _said=tx.squeeze(F.col("said"))).where("_said <> ''")
-    j = r.join(sources.select("doc_id", "text"), "doc_id")
-    j = staged(j, _doc=tx.squeeze(F.col("text")))
+    r = staged(by_document(rows, "doc_id"), _said=tx.squeeze(F.col("said"))).where("_said <> ''")
+    docs = staged(by_document(sources.select("doc_id", "text"), "doc_id"), _doc=tx.squeeze(F.col("text")))
+    j = r.join(docs.select("doc_id", "_doc"), "doc_id")
     found = []
     for n in needles:
         needle = F.left("_said", F.lit(n))

@@ -21,3 +21,15 @@ def staged(df: DataFrame, **columns: Column) -> DataFrame:
         F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_staged"),
     )
     return out.select(*kept, *[F.col(f"_staged.{n}").alias(n) for n in columns])
+
+
+def by_document(df: DataFrame, key: str) -> DataFrame:
+    """Spread documents over the shuffle partitions by their key.
+
+    Reading a text costs far more than moving it, a document is one row, so its key is
+    never hot, and every later grouping, window or join on the document (or on it and
+    more) finds its rows in place: the chain needs this shuffle and no other.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
+

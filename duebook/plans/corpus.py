@@ -402,11 +402,11 @@ def provenance_check(spark, sf):
 def negative_control(spark, sf):
     """Each row with its neighbour's quotation: a check that passes these checks nothing."""
     docs, rows = answers(spark, sf), indexed(spark, sf)
-    swapped = None
-    for step in (1, 37):
-        one = scans.neighbour(rows, ["label"], "doc_id", ["asked"], step, "other_").where("other_asked IS NOT NULL")
-        one = one.select("doc_id", "label", F.col("other_asked").alias("asked"), F.lit(step).alias("step"))
-        swapped = one if swapped is None else swapped.unionByName(one)
+    swapped = (
+        scans.neighbours(rows, ["label"], "doc_id", ["asked"], [1, 37], "other_")
+        .where("other_asked IS NOT NULL")
+        .select("doc_id", "label", F.col("other_asked").alias("asked"), "step")
+    )
     checked = corpus.provenance(swapped, docs, SOURCE_LABEL)
     return checked.groupBy("step").agg(
         F.count("*").alias("rows"), F.count_if(F.col("outcome") == "verified").alias("still_pass")

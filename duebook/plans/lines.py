@@ -207,8 +207,7 @@ BLOCK = r"""'Response to Recommendations ' || CASE o_orderkey % 3 WHEN 0 THEN '4
 )
 def answer_blocks(spark, sf):
     docs = load(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), F.expr(BLOCK).alias("text"))
-    b = lines.answer_blocks(docs)
-    state, v = lines.block_verdict(F.col("own"), lambda said: wording.verdict(said, F.lit("")))
+    b = lines.block_verdicts(lines.answer_blocks(docs), lambda said: wording.verdict(said, F.lit("")))
     return b.select(
-        "doc_id", "label", "responsible", F.array_join("own", "; ").alias("own"), "others", state.alias("state"), v.alias("verdict"), "words"
+        "doc_id", "label", "responsible", F.array_join("own", "; ").alias("own"), "others", "state", "verdict", "words"
     )
