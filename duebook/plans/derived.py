@@ -251,7 +251,6 @@ TOPICS = (
     "veterans housing support",
     "cyber crime reporting",
 )
-_PREFIX = ("Final report", "Inquiry into", "Report 4", "Interim report")
 
 
 def registers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -264,7 +263,9 @@ def registers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = load(spark, sf_dir, "orders")
     key, party = F.col("o_orderkey"), F.col("o_custkey")
     topic = F.element_at(F.array(*[F.lit(t) for t in TOPICS]), (party % 11 + 1).cast("int"))
-    case = F.concat(F.lit(" case"), party.cast("string"))
+    case = F.concat(
+        F.lit(" case"), party.cast("string"), F.lit(" site"), (party % 997).cast("string"), F.lit(" plan"), (party % 1009).cast("string")
+    )
     tabled = F.to_date("o_orderdate")
     first = o.where(F.col("o_orderstatus") != "F").select(
         key.alias("id"),
@@ -287,17 +288,18 @@ def registers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 _TOPIC_SQL = "[" + ", ".join(f"'{t}'" for t in TOPICS) + "][CAST(o_custkey % 11 + 1 AS INT)]"
+_CASE_SQL = "' case' || o_custkey || ' site' || (o_custkey % 997) || ' plan' || (o_custkey % 1009)"
 REGISTERS = f"""first AS (
   SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS tabled, o_orderpriority || ' Standing Committee' AS body,
-         'Inquiry into ' || {_TOPIC_SQL} || ' case' || o_custkey || ' matters' AS title,
+         'Inquiry into ' || {_TOPIC_SQL} || {_CASE_SQL} || ' matters' AS title,
          CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey END AS ref
   FROM orders WHERE o_orderstatus <> 'F'),
 second AS (
   SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) AS tabled,
          'Joint ' || o_orderpriority || ' Committee' AS body,
          CASE o_orderkey % 7 WHEN 0 THEN 'Report on ' || {_TOPIC_SQL}
-           WHEN 1 THEN 'Report: ' || {_TOPIC_SQL} || ' case' || o_custkey || ' second stage review'
-           ELSE 'Report: ' || {_TOPIC_SQL} || ' case' || o_custkey END AS title,
+           WHEN 1 THEN 'Report: ' || {_TOPIC_SQL} || {_CASE_SQL} || ' second stage review'
+           ELSE 'Report: ' || {_TOPIC_SQL} || {_CASE_SQL} END AS title,
          CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey END AS ref
   FROM orders WHERE o_orderstatus <> 'O')"""
 
