@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from duebook.functions import wording
 from duebook.operators import coverage, segments
@@ -221,14 +221,10 @@ def sibling_runon(spark, sf):
     """Answers that hold the opening of another item of their document. To have some that do,
     each answer is read here with the item that follows it."""
     best = segments.best_per_label(segments.candidates(answers(spark, sf), "doc_id", "text"))
-    b = best.select("doc_id", F.col("label").cast("int").alias("n"), "label", "asked", "said")
-    follow = b.select("doc_id", "n", "asked")
-    ordered = b.join(
-        b.select("doc_id", F.col("n").alias("m")), "doc_id"
-    ).where("m > n").groupBy("doc_id", "n").agg(F.min("m").alias("next"))
-    nxt = ordered.join(follow.select("doc_id", F.col("n").alias("next"), F.col("asked").alias("after")), ["doc_id", "next"])
-    said = b.join(nxt.select("doc_id", "n", "after"), ["doc_id", "n"], "left").select(
-        "doc_id", "label", "asked", F.concat_ws(" ", "said", F.coalesce("after", F.lit(""))).alias("said")
+    # A document is one text, so its items are few, and they already lie together.
+    following = F.lead("asked").over(Window.partitionBy("doc_id").orderBy(F.col("label").cast("int")))
+    said = best.select(
+        "doc_id", "label", "asked", F.concat_ws(" ", "said", F.coalesce(following, F.lit(""))).alias("said")
     )
     return coverage.sibling_runon(said)
 
