@@ -133,13 +133,14 @@ def stream_dedupe(spark, sf):
 
 @query(
     "stream_burst_days",
-    f"SELECT {DAY}::VARCHAR AS day, event_type FROM events GROUP BY ALL HAVING count(*) >= 75",
+    f"SELECT {DAY}::VARCHAR AS day, event_type FROM events WHERE value > 100 GROUP BY ALL HAVING count(*) >= 5",
 )
 def stream_burst_days(spark, sf):
-    """Days at or over a threshold, each said once however many batches it grows over."""
+    """Days with five or more large events of a type, each said once however many batches it grows over."""
     folder = increments.work_folder(spark, "burst")
-    counts = increments.daily_counts(stream_of_events(spark, sf), "ts", ["event_type"])
-    return increments.say_once(spark, counts, ["day", "event_type"], folder, F.col("n") >= 75)
+    large = stream_of_events(spark, sf).where("value > 100")
+    counts = increments.daily_counts(large, "ts", ["event_type"])
+    return increments.say_once(spark, counts, ["day", "event_type"], folder, F.col("n") >= 5)
 
 
 @query(
