@@ -10,12 +10,13 @@ a band; documents that agree in a band meet, and every pair that counts is verif
 similarity of its texts.
 
 Equal texts are one node. In a band's bucket the nodes are set against the smallest one, its
-leader; that is linear whatever a bucket's size, and it settles a family of copies. What stays
-apart from its leader's component is set against the others that stay apart too, and, when the
-triangle inequality of the distance leaves it possible, against those that joined the leader. A
-bucket with more than `crowd` nodes left is split by the other bands first, where a pair that is
-similar agrees again. So links are lost by the chance of the bands alone: (1 - 0.8^rows)^bands,
-5e-6 with the defaults. Classes are the connected components.
+leader; that is linear whatever a bucket's size, and it settles a family of copies. A bucket that
+then still holds nodes of other components is dealt out in blocks, each of which compares the
+registers of its nodes in one task and returns only the pairs whose estimate reaches `threshold`
+- 0.1 (four standard deviations), from the first band in which the two agree. So a crowd of
+documents that share a passage costs comparisons, not rows, and links are lost by chance alone:
+(1 - 0.8^rows)^bands, 5e-6, and 5e-5 for the estimate, at a similarity of just 0.8. Classes are
+the connected components.
 
 Cases. Null, empty and blank texts are a class each. Texts of fewer than five words are one
 shingle. Repeated rows share a class, as do rows of one id. A row with a null id is in no class
@@ -36,9 +37,8 @@ from duebook.llm import common
 from duebook.llm.components import components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 40, 6
-#: Nodes of a bucket that are set against each other without being split once more.
-CROWD = 32
-
+#: How far below the threshold an estimate may lie; nodes of a block that are open, and that they meet.
+SLACK, OPEN, MET = 0.1, 256, 2048
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -126,7 +126,8 @@ def signatures(bands: int, rows: int):
             band = mix(band + np.arange(bands, dtype=np.uint64) * _BASE).view(np.int64)
             offsets = np.concatenate([[0], np.cumsum(np.where(has, bands, 0))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(band[has].ravel()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("k1"), b.column("k2"), lists], names=["doc_id", "k1", "k2", "bands"])
+            marks = pa.array([r.tobytes() for r in mix(held).astype(np.uint8)], pa.binary())  # eight bits of each register
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("k1"), b.column("k2"), lists, marks], names=["doc_id", "k1", "k2", "bands", "marks"])
 
     return run
 
@@ -170,34 +171,67 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(out, pa.float64())], names=["a", "b", "j"])
 
 
-def measured(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """a, b, j of distinct pairs. Only texts that some pair asks for go on."""
+def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, j of distinct pairs. The joins are by sorting at every size: texts are not broadcast."""
     pairs = common.settle(pairs.select("a", "b").distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = common.settle(docs.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).hint("merge")
+    tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")).hint("merge")
     return common.settle(pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(verified, "a long, b long, j double"), "measured")
 
 
-def apart(cells: DataFrame, bands: DataFrame) -> DataFrame:
-    """Pairs of cells in one bucket that different components hold: a, b, each once or more."""
-    out, depth = None, 0
-    while True:
-        sizes = cells.groupBy("h").agg(F.count("*").alias("n"))
-        small = common.settle(cells.join(sizes.where((F.col("n") > 1) & ((F.col("n") <= CROWD) | F.lit(depth >= 3))).select("h"), "h"), "small")
-        other = small.select("h", F.col("node").alias("b"), F.col("comp").alias("cb"))
-        pairs = small.join(other, "h").where("node < b and comp <> cb").select(F.col("node").alias("a"), "b").distinct()
-        out = pairs if out is None else out.union(pairs)
-        crowded = cells.join(sizes.where(F.col("n") > CROWD).select("h"), "h")
-        depth += 1
-        if depth > 3 or crowded.isEmpty():
-            return out
-        # similar nodes agree in more bands than one: the bucket is split by each other band
-        cells = common.settle(
-            crowded.join(bands, "node").select("h", "node", "comp", F.explode("bands").alias("more")).where("more <> h").select(F.xxhash64("h", "more").alias("h"), "node", "comp").distinct(),
-            "split",
-        )
+def agreeing(band: int, left: list, met: list, rows: int, least: float) -> list[tuple[int, int]]:
+    """Pairs of an open node and a node of another component whose marks agree in this share, if
+    `band` is the first that they share."""
+    x = np.frombuffer(b"".join([r[2] for r in left]), np.uint8).reshape(len(left), -1)
+    y = np.frombuffer(b"".join([r[2] for r in met]), np.uint8).reshape(len(met), -1)
+    comps, nodes = np.array([r[1] for r in met]), np.array([r[0] for r in met])
+    out = []
+    for (node, comp, _), marks in zip(left, x):
+        same = y == marks
+        near = np.flatnonzero((same.mean(axis=1) >= least) & (comps != comp))
+        if len(near):
+            first = same[near].reshape(len(near), -1, rows).all(axis=2).argmax(axis=1)
+            out += [(min(node, n), max(node, n)) for n in nodes[near[first == band]].tolist()]
+    return out
+
+
+def compared(rows: int, least: float):
+    """a, b from rows sorted by block, the open nodes (side 0) of each block first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, sides = None, ([], [])
+        for b in batches:
+            out = []
+            for h, seat, met, band, side, node, comp, marks in zip(*(b.column(n).to_pylist() for n in ("h", "seat", "met", "band", "side", "node", "comp", "marks"))):
+                if (h, seat, met) != block:
+                    if all(sides):
+                        out += agreeing(at, *sides, rows, least)
+                    block, sides, at = (h, seat, met), ([], []), band
+                sides[side].append((node, comp, marks))
+            yield pairs_out(out)
+        if all(sides):
+            yield pairs_out(agreeing(at, *sides, rows, least))
+
+    return run
+
+
+def pairs_out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def apart(held: DataFrame, nodes: DataFrame, rows: int, least: float) -> DataFrame:
+    """a, b of one bucket and different components whose estimate reaches `least`."""
+    away = F.col("comp") != F.col("lead_comp")
+    sizes = held.groupBy("h").agg(F.count(F.when(away, 1)).alias("n"), F.count("*").alias("m")).where("n > 0")
+    sizes = sizes.select("h", F.ceil(F.col("n") / OPEN).alias("seats"), F.ceil(F.col("m") / MET).alias("mets"))
+    here = held.join(sizes, "h").join(nodes.select("node", "marks"), "node")
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    seat = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
+    cols = ("h", "seat", "met", "band", "side", "node", "comp", "marks")
+    left = here.where(away).withColumn("seat", seat("seats")).withColumn("met", upto("mets")).withColumn("side", F.lit(0)).select(*cols)
+    met = here.withColumn("met", seat("mets")).withColumn("seat", upto("seats")).withColumn("side", F.lit(1)).select(*cols)
+    dealt = left.union(met).repartition("h", "seat", "met").sortWithinPartitions("h", "seat", "met", "side")
+    return dealt.mapInArrow(compared(rows, least), "a long, b long")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -207,36 +241,27 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("doc_id is not null")
     words = F.trim(F.regexp_replace(F.lower("text"), "\\s+", " "))
     keyed = docs.select("doc_id", "text", F.xxhash64(words).alias("k1"), F.xxhash64(F.lit(7), words).alias("k2"))
-    sig = common.settle(keyed.mapInArrow(signatures(bands, rows), "doc_id long, k1 long, k2 long, bands array<long>"), "signatures")
+    sig = common.settle(keyed.mapInArrow(signatures(bands, rows), "doc_id long, k1 long, k2 long, bands array<long>, marks binary"), "signatures")
     full = sig.where(F.size("bands") > 0)
-    nodes = common.settle(full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "bands")).alias("m"), F.count("*").alias("copies")).select("k1", "k2", "copies", F.col("m.doc_id").alias("node"), "m.bands"), "nodes")
+    nodes = common.settle(full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "bands", "marks")).alias("m"), F.count("*").alias("copies")).select("k1", "k2", "copies", F.col("m.doc_id").alias("node"), "m.bands", "m.marks"), "nodes")
 
-    cells = nodes.select("node", F.explode("bands").alias("h"))
+    cells = nodes.select("node", F.posexplode("bands").alias("band", "h"))
     leaders = cells.groupBy("h").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    cells = common.settle(cells.join(leaders, "h"), "cells")
-    stars = measured(cells.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")), docs)
+    cells = common.settle(cells.join(leaders.hint("merge"), "h"), "cells")
+    asked = cells.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+    texts = common.settle(docs.join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    stars = measured(cells.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")), texts)
     near = stars.where(F.col("j") >= threshold).select("a", "b")
     comps = components(near)
 
     # what its leader's component does not hold; a leader stands at its own side
     of = lambda name, out: comps.select(F.col("node").alias(name), F.col("comp").alias(out))
     held = cells.join(of("node", "c1"), "node", "left").join(of("leader", "c2"), "leader", "left").select(
-        "h", "node", "leader", F.coalesce("c1", "node").alias("comp"), F.coalesce("c2", "leader").alias("lead_comp")
+        "h", "band", "node", F.coalesce("c1", "node").alias("comp"), F.coalesce("c2", "leader").alias("lead_comp")
     )
     held = common.settle(held, "held")
-    left = held.where("comp <> lead_comp")
-    pairs = apart(common.settle(left.select("h", "node", "comp"), "left"), nodes.select("node", "bands"))
-    # distance is a metric: b can be near an a that joined the leader only if the two differ in
-    # their distances to it by no more than the threshold allows
-    reach = 1 - threshold
-    to_leader = stars.select(F.col("a").alias("leader"), F.col("b").alias("node"), "j")
-    shell = common.settle(left.join(to_leader, ["leader", "node"]).where(F.col("j") >= threshold - reach).select("h", F.col("node").alias("b"), F.col("j").alias("jb"), F.col("comp").alias("cb")), "shell")
-    inside = held.join(shell.select("h").distinct(), "h", "left_semi").where("comp = lead_comp and node <> leader").join(to_leader, ["leader", "node"])
-    pairs = pairs.union(
-        inside.join(shell, "h").where((F.col("j") <= F.col("jb") + reach) & (F.col("comp") != F.col("cb"))).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    )
-    pairs = pairs.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    more = measured(pairs, docs).where(F.col("j") >= threshold).select("a", "b")
+    pairs = apart(held, nodes, rows, threshold - SLACK).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    more = measured(pairs, texts).where(F.col("j") >= threshold).select("a", "b")
     if not more.isEmpty():
         comps = components(near.union(more))
 
