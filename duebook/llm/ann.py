@@ -200,7 +200,7 @@ def searched(shared, k: int):
             for own, q, bound in zip(queries["vec_id"].to_numpy(np.int64).tolist(), matrix(queries["v"]), bounds.tolist()):
                 ids, products = index.search(own, q, k, -np.inf if math.isnan(bound) else bound)
                 out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": products}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series([], "int64"), "vec_id": pd.Series([], "int64"), "score": pd.Series([], "float64")})
+        return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
 
     return run
 

@@ -126,7 +126,8 @@ def signatures(bands: int, rows: int):
             band = mix(band + np.arange(bands, dtype=np.uint64) * _BASE).view(np.int64)
             offsets = np.concatenate([[0], np.cumsum(np.where(has, bands, 0))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(band[has].ravel()))
-            marks = pa.array([r.tobytes() for r in mix(held).astype(np.uint8)], pa.binary())  # eight bits of each register
+            # eight bits of each register, for estimates, and 32 of each band, to tell which bands agree
+            marks = pa.array([r.tobytes() + k.tobytes() for r, k in zip(mix(held).astype(np.uint8), band.astype("<u4"))], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("k1"), b.column("k2"), lists, marks], names=["doc_id", "k1", "k2", "bands", "marks"])
 
     return run
@@ -179,23 +180,24 @@ def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return common.settle(pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(verified, "a long, b long, j double"), "measured")
 
 
-def agreeing(band: int, left: list, met: list, rows: int, least: float) -> list[tuple[int, int]]:
+def agreeing(band: int, left: list, met: list, bands: int, least: float) -> list[tuple[int, int]]:
     """Pairs of an open node and a node of another component whose marks agree in this share, if
     `band` is the first that they share."""
     x = np.frombuffer(b"".join([r[2] for r in left]), np.uint8).reshape(len(left), -1)
     y = np.frombuffer(b"".join([r[2] for r in met]), np.uint8).reshape(len(met), -1)
+    m = x.shape[1] - 4 * bands
+    x, own, y, keys = x[:, :m], x[:, m:].copy().view("<u4"), y[:, :m], y[:, m:].copy().view("<u4")
     comps, nodes = np.array([r[1] for r in met]), np.array([r[0] for r in met])
     out = []
-    for (node, comp, _), marks in zip(left, x):
-        same = y == marks
-        near = np.flatnonzero((same.mean(axis=1) >= least) & (comps != comp))
+    for (node, comp, _), marks, key in zip(left, x, own):
+        near = np.flatnonzero(((y == marks).mean(axis=1) >= least) & (comps != comp))
         if len(near):
-            first = same[near].reshape(len(near), -1, rows).all(axis=2).argmax(axis=1)
+            first = (keys[near] == key).argmax(axis=1)
             out += [(min(node, n), max(node, n)) for n in nodes[near[first == band]].tolist()]
     return out
 
 
-def compared(rows: int, least: float):
+def compared(bands: int, least: float):
     """a, b from rows sorted by block, the open nodes (side 0) of each block first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,12 +207,12 @@ def compared(rows: int, least: float):
             for h, seat, met, band, side, node, comp, marks in zip(*(b.column(n).to_pylist() for n in ("h", "seat", "met", "band", "side", "node", "comp", "marks"))):
                 if (h, seat, met) != block:
                     if all(sides):
-                        out += agreeing(at, *sides, rows, least)
+                        out += agreeing(at, *sides, bands, least)
                     block, sides, at = (h, seat, met), ([], []), band
                 sides[side].append((node, comp, marks))
             yield pairs_out(out)
         if all(sides):
-            yield pairs_out(agreeing(at, *sides, rows, least))
+            yield pairs_out(agreeing(at, *sides, bands, least))
 
     return run
 
@@ -219,7 +221,7 @@ def pairs_out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def apart(held: DataFrame, nodes: DataFrame, rows: int, least: float) -> DataFrame:
+def apart(held: DataFrame, nodes: DataFrame, bands: int, least: float) -> DataFrame:
     """a, b of one bucket and different components whose estimate reaches `least`."""
     away = F.col("comp") != F.col("lead_comp")
     sizes = held.groupBy("h").agg(F.count(F.when(away, 1)).alias("n"), F.count("*").alias("m")).where("n > 0")
@@ -231,7 +233,7 @@ def apart(held: DataFrame, nodes: DataFrame, rows: int, least: float) -> DataFra
     left = here.where(away).withColumn("seat", seat("seats")).withColumn("met", upto("mets")).withColumn("side", F.lit(0)).select(*cols)
     met = here.withColumn("met", seat("mets")).withColumn("seat", upto("seats")).withColumn("side", F.lit(1)).select(*cols)
     dealt = left.union(met).repartition("h", "seat", "met").sortWithinPartitions("h", "seat", "met", "side")
-    return dealt.mapInArrow(compared(rows, least), "a long, b long")
+    return dealt.mapInArrow(compared(bands, least), "a long, b long")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -260,7 +262,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         "h", "band", "node", F.coalesce("c1", "node").alias("comp"), F.coalesce("c2", "leader").alias("lead_comp")
     )
     held = common.settle(held, "held")
-    pairs = apart(held, nodes, rows, threshold - SLACK).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = apart(held, nodes, bands, threshold - SLACK).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     more = measured(pairs, texts).where(F.col("j") >= threshold).select("a", "b")
     if not more.isEmpty():
         comps = components(near.union(more))
