@@ -88,7 +88,7 @@ def volume(df: DataFrame, key: str, held: str, seen: str, new: str, least_share:
     )
 
 
-def claims(briefs: DataFrame, patterns: list[tuple[str, list[Column]]], text: str = "text", places: int = 4) -> DataFrame:
+def claims(briefs: DataFrame, patterns: list[tuple[str, list[Column]]], text: str = "text", places: int = 10) -> DataFrame:
     """Figures a text prints against the metrics on its row, at the precision it prints.
 
     A pattern has ``{}`` where a figure stands, and one column per figure. One output
@@ -102,7 +102,7 @@ def claims(briefs: DataFrame, patterns: list[tuple[str, list[Column]]], text: st
             said = F.regexp_extract(flat, rx, i)
             got = F.regexp_replace(said, ",", "").try_cast("double")
             digits = F.length(F.regexp_extract(said, r"\.(\d+)$", 1))
-            w, g = F.lit(None).cast("double"), F.lit(None).cast("double")
+            w, g = want.cast("double"), got  # more digits than `places` are compared as they are
             for p in range(places, -1, -1):
                 w = F.when(digits == p, F.bround(want.cast("double"), p)).otherwise(w)
                 g = F.when(digits == p, F.bround(got, p)).otherwise(g)
@@ -133,6 +133,6 @@ def together(parts: list[DataFrame]) -> DataFrame:
 
 def must_be_empty(found: DataFrame) -> None:
     """Refuse to publish: raise with the count per rule when a gate found anything."""
-    bad = found.groupBy("rule").count().orderBy("rule").limit(20).collect()
+    bad = found.groupBy("rule").count().orderBy("rule").collect()  # a row per rule
     if bad:
         raise ValueError("; ".join(f"{r['rule']}: {r['count']}" for r in bad))

@@ -752,11 +752,10 @@ def collection_rollup(spark, sf):
 
 @query(
     "register_view",
-    f"""WITH {OB} SELECT id, body, status, {TODAY_SQL} - tabled AS days FROM ob WHERE answered IS NULL AND lower(body) LIKE '%high%' AND status <> 'F'
-    ORDER BY days DESC, id LIMIT 20""",
+    f"""WITH {OB} SELECT id, body, status, {TODAY_SQL} - tabled AS days FROM ob WHERE answered IS NULL AND lower(body) LIKE '%high%' AND status <> 'F'""",
 )
 def register_view(spark, sf):
-    """A reader's view of the register: terms contained, a sort choice, the first twenty."""
+    """A reader's view of the register: terms contained, all rows, with what it sorts by."""
     o = obligations(spark, sf).where("answered IS NULL")
     terms = ["high"]
     for t in terms:
@@ -764,8 +763,6 @@ def register_view(spark, sf):
     return (
         o.where("status <> 'F'")
         .select("id", "body", "status", F.datediff(today(), "tabled").alias("days"))
-        .orderBy(F.desc("days"), "id")
-        .limit(20)
     )
 
 
@@ -882,7 +879,7 @@ def redraw_sample(spark, sf):
 @query(
     "floor_summary",
     """WITH r AS (SELECT o_orderkey AS id, o_orderkey % 6 + 1 AS labels, (o_custkey % 4) + o_orderkey % 6 AS notes FROM orders),
-    w AS (SELECT *, CASE WHEN labels <> notes THEN notes || ' notes sentences against ' || labels || ' labels' WHEN labels < 2 THEN 'a single label' ELSE '' END AS why FROM r)
+    w AS (SELECT *, CASE WHEN labels <> notes THEN notes || ' notes for ' || labels || ' labels' WHEN labels < 2 THEN 'a single label' ELSE '' END AS why FROM r)
     SELECT CASE WHEN why = '' THEN 'counted' WHEN regexp_matches(why, '^[0-9]') THEN 'the notes sentences and the labels disagree' ELSE why END AS reason,
       count(*) AS documents, CAST(sum(CASE WHEN why = '' THEN labels ELSE 0 END) AS BIGINT) AS floor, CAST(sum(notes) AS BIGINT) AS sentences FROM w GROUP BY 1""",
 )
@@ -892,7 +889,7 @@ def floor_summary(spark, sf):
     key = F.col("o_orderkey")
     r = load(spark, sf, "orders").select((key % 6 + 1).alias("labels"), (F.col("o_custkey") % 4 + key % 6).alias("notes"))
     why = (
-        F.when(F.col("labels") != F.col("notes"), F.concat(F.col("notes").cast("string"), F.lit(" notes sentences against "), F.col("labels").cast("string"), F.lit(" labels")))
+        F.when(F.col("labels") != F.col("notes"), F.concat(F.col("notes").cast("string"), F.lit(" notes for "), F.col("labels").cast("string"), F.lit(" labels")))
         .when(F.col("labels") < 2, "a single label")
         .otherwise("")
     )

@@ -259,11 +259,11 @@ def hits(spark, sf):
 
 @query(
     "topic_search",
-    f"WITH {HITS_SQL} SELECT doc_id, in_title, stage FROM h ORDER BY in_title DESC, stage, doc_id DESC LIMIT 60",
+    f"WITH {HITS_SQL} SELECT doc_id, in_title, stage FROM h",
 )
 def topic_search(spark, sf):
-    """The first sixty results of a topic: in the item itself first, then by stage, newest first."""
-    return hits(spark, sf).orderBy(F.desc("in_title"), "stage", F.desc("doc_id")).limit(60).select("doc_id", "in_title", "stage")
+    """All results of a topic, with what a reader's view sorts by."""
+    return hits(spark, sf).select("doc_id", "in_title", "stage")
 
 
 @query(
@@ -303,7 +303,7 @@ def quiet_documents(spark, sf):
 
 @query(
     "quiet_search",
-    f"WITH {QUIET_SQL} SELECT doc_id, read_elsewhere FROM q WHERE {TERMS_SQL.format('text')} ORDER BY doc_id DESC LIMIT 40",
+    f"WITH {QUIET_SQL} SELECT doc_id, read_elsewhere FROM q WHERE {TERMS_SQL.format('text')}",
 )
 def quiet_search(spark, sf):
     terms = corpus.search_terms(SEARCH)
@@ -311,8 +311,6 @@ def quiet_search(spark, sf):
         quiet(spark, sf)
         .where(corpus.matches_all(F.col("text"), terms))
         .select("doc_id", "read_elsewhere")
-        .orderBy(F.desc("doc_id"))
-        .limit(40)
     )
 
 
@@ -531,7 +529,7 @@ LONG_LABEL = r"(?m)^[ \t]*Recommendation[ \t]+(\d{1,3}\.\d{1,3})[ \t]*:?"
     "segment_shortest",
     """WITH i AS (SELECT o_orderkey AS doc_id, o_custkey AS p, i, o_orderkey % 4 + 1 AS n FROM orders, range(1, 5) g(i) WHERE i <= o_orderkey % 4 + 1)
     SELECT doc_id, '2.' || i AS label, CASE WHEN (doc_id + i) % 7 = 0 THEN '' ELSE 'Fund program ' || p || ' for ' || i || ' years with a review after each of them' END AS asked,
-      CASE WHEN (doc_id + i) % 7 = 0 THEN 'only a contents entry was found for it' ELSE '' END AS note, CAST(CASE WHEN (doc_id + i) % 7 = 0 THEN 1 ELSE 3 END AS BIGINT) AS occurrences FROM i""",
+      CASE WHEN (doc_id + i) % 7 = 0 THEN 'listed in the contents and nowhere else' ELSE '' END AS note, CAST(CASE WHEN (doc_id + i) % 7 = 0 THEN 1 ELSE 3 END AS BIGINT) AS occurrences FROM i""",
 )
 def segment_shortest(spark, sf):
     """Long reports print an item in the contents, in a list and in the body."""

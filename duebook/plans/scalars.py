@@ -407,8 +407,8 @@ ASKED = """CASE k % 7 WHEN 0 THEN 'Wage practices The Government of the The Comm
 
 @query(
     "splice_suspect",
-    f"""SELECT k, CASE k % 7 WHEN 1 THEN 'an article or preposition followed by a word that can only start a sentence' WHEN 2 THEN 'a sentence beginning where no full stop introduced it'
-      WHEN 3 THEN 'the government reporting what it did, inside the committee''s words' ELSE '' END AS why FROM {orders_sql()}""",
+    f"""SELECT k, CASE k % 7 WHEN 1 THEN 'two sentences joined after a short word' WHEN 2 THEN 'a new sentence without a stop before it'
+      WHEN 3 THEN 'a report of action inside the quoted item' ELSE '' END AS why FROM {orders_sql()}""",
 )
 def splice_suspect(spark, sf):
     return orders(spark, sf, t=ASKED).select("k", wording.splice_reason(F.col("t")).alias("why"))

@@ -24,8 +24,8 @@ def segment_qa(spark, sf):
 @query(
     "segment_refusals",
     f"""WITH {FOUND}, no AS (
-      SELECT doc_id, i::VARCHAR AS label, CASE r WHEN 13 THEN 'the extraction looks broken' ELSE 'does not read like a recommendation' END AS why, true AS answered FROM body_item WHERE refused
-      UNION ALL SELECT doc_id, g.l::VARCHAR, 'too short to be a recommendation', false FROM (SELECT DISTINCT doc_id FROM item WHERE doc_id % 4 = 0), range(1, 3) AS g(l))
+      SELECT doc_id, i::VARCHAR AS label, CASE r WHEN 13 THEN 'characters or words are damaged' ELSE 'no wording of a proposal in it' END AS why, true AS answered FROM body_item WHERE refused
+      UNION ALL SELECT doc_id, g.l::VARCHAR, 'fewer characters than an item needs', false FROM (SELECT DISTINCT doc_id FROM item WHERE doc_id % 4 = 0), range(1, 3) AS g(l))
     SELECT doc_id, label, why, answered FROM no WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.doc_id = no.doc_id AND f.label = no.label)""",
 )
 def segment_refusals(spark, sf):
@@ -237,8 +237,8 @@ def sibling_runon(spark, sf):
     """WITH l AS (SELECT o_orderkey AS doc_id, o_orderkey % 6 + 1 AS k, o_custkey AS p,
         list_distinct(list_transform(range(1, o_orderkey % 6 + 2), lambda i: CASE WHEN o_custkey % 5 = 0 AND i = 2 THEN i + 7 ELSE i END)) AS labels FROM orders),
       n AS (SELECT doc_id, CASE WHEN p % 7 = 0 THEN 0 ELSE len(labels) END AS labels, p % 7 = 0 OR list_sort(labels) = range(1, len(labels) + 1) AS contiguous, CASE WHEN p % 3 = 0 THEN 1 ELSE len(labels) END AS notes FROM l)
-    SELECT doc_id, CAST(labels AS INTEGER) AS labels, CAST(notes AS INTEGER) AS notes, CASE WHEN labels = 0 THEN 'no recommendation labels in the text' WHEN NOT contiguous THEN 'labels do not run without gaps'
-      WHEN notes <> labels THEN notes || ' notes sentences against ' || labels || ' labels' WHEN labels < 2 THEN 'a single label, which a table layout can fake' ELSE '' END AS why FROM n""",
+    SELECT doc_id, CAST(labels AS INTEGER) AS labels, CAST(notes AS INTEGER) AS notes, CASE WHEN labels = 0 THEN 'no labels found' WHEN NOT contiguous THEN 'labels have gaps'
+      WHEN notes <> labels THEN notes || ' notes for ' || labels || ' labels' WHEN labels < 2 THEN 'one label proves nothing' ELSE '' END AS why FROM n""",
 )
 def contiguity_floor(spark, sf):
     """Form letters whose own numbering proves how many items they close."""
@@ -262,10 +262,10 @@ def contiguity_floor(spark, sf):
 @query(
     "stated_gap",
     """WITH l AS (SELECT o_orderkey AS doc_id, CAST(o_orderkey % 6 + 1 AS INTEGER) AS addressed, CAST(CASE WHEN o_custkey % 3 = 0 THEN o_custkey % 30 ELSE 0 END AS INTEGER) AS stated FROM orders)
-    SELECT doc_id, stated, addressed, stated - addressed AS gap FROM l WHERE stated > 0 ORDER BY gap DESC, doc_id LIMIT 100""",
+    SELECT doc_id, stated, addressed, stated - addressed AS gap FROM l WHERE stated > 0""",
 )
 def stated_gap(spark, sf):
-    """Documents that state more items than they address, widest gap first; a report of one hundred."""
+    """Documents that state more items than they address, every one."""
     docs = answers(spark, sf).join(
         load(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_custkey").alias("p")), "doc_id"
     )
@@ -273,4 +273,4 @@ def stated_gap(spark, sf):
         F.when(F.col("p") % 3 == 0, F.concat(F.lit("The report made "), (F.col("p") % 30).cast("string"), F.lit(" recommendations.\n"))).otherwise(""),
         F.array_join(F.transform(F.sequence(F.lit(1), F.col("items")), lambda i: F.concat(F.lit("Recommendation "), i.cast("string"), F.lit(" Agreed.\n"))), ""),
     )
-    return coverage.stated_gap(docs.select("doc_id", body.alias("text"))).orderBy(F.desc("gap"), "doc_id").limit(100)
+    return coverage.stated_gap(docs.select("doc_id", body.alias("text")))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from duebook.sources import read_table
@@ -66,3 +67,26 @@ def test_streams_equal_their_batch_twins_over_many_batches(spark, tmp_path):
 def test_unreadable_state_says_nothing(spark):
     empty = spark.createDataFrame([], "id long")
     assert increments.quietly(lambda: spark.read.parquet("/nowhere/at/all"), empty).count() == 0
+
+
+def test_a_failing_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(10), path)
+    bad = spark.range(10).selectExpr("CASE WHEN id = 7 THEN raise_error('no') ELSE id END AS id")
+    with pytest.raises(Exception, match="no"):
+        sinks.write_table(bad, path)
+    assert spark.read.parquet(path).count() == 10
+    sinks.write_table(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_broken_state_says_nothing(spark, tmp_path):
+    path = tmp_path / "state"
+    spark.range(5).coalesce(1).write.parquet(str(path))
+    part = next(path.glob("part-*.parquet"))
+    raw = bytearray(part.read_bytes())
+    raw[4:40] = bytes(36)
+    part.write_bytes(bytes(raw))
+    next(path.glob(".part-*.crc")).unlink()
+    empty = spark.range(0)
+    assert increments.quietly(lambda: spark.read.schema("id long").parquet(str(path)), empty) is empty
