@@ -52,6 +52,14 @@ def furniture(docs: DataFrame, title: str = "title", text: str = "text", times:
     )
 
 
+SHORTEST_PROBE = 30
+
+
+def quote(words: Column) -> Column:
+    """Words as a pattern that matches them literally, whatever they hold."""
+    return F.concat(F.lit(r"\Q"), F.replace(words, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+
 def provenance(
     rows: DataFrame, sources: DataFrame, label_rx: str, look_back: int = 400, long_probe: bool = False
 ) -> DataFrame:
@@ -68,19 +76,22 @@ def provenance(
     r = staged(r, _probe=probe).drop("_flat")
     docs = by_document(sources.select("doc_id", "text"), "doc_id")
     j = r.join(docs.select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("_body")), "doc_id", "left")
-    quoted = F.concat(F.lit(r"\Q"), F.col("_probe"), F.lit(r"\E"))
+    quoted = quote(F.col("_probe"))
     j = staged(j, _pieces=F.split(F.coalesce("_body", F.lit("")), quoted, -1))
     # Pieces that carry the probe which precedes them, so that joining them restores the text.
     j = staged(
         j, _pieces=F.transform("_pieces", lambda p, i: F.when(i > 0, F.concat("_probe", p)).otherwise(p))
     )
+    # A probe that is judged has 30 characters or more, and all pieces but the first begin with
+    # it: so many of the last ones hold the look-back, however often the probe occurs.
+    reach = look_back // SHORTEST_PROBE + 2
     above = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("_pieces") - 1, F.lit(1))),
         lambda k: F.element_at(
             F.concat(
                 F.array(F.lit("")),
                 F.regexp_extract_all(
-                    F.right(F.array_join(F.slice("_pieces", F.lit(1), k), ""), F.lit(look_back)),
+                    F.right(F.array_join(F.slice("_pieces", F.greatest(k - reach + 1, F.lit(1)), F.least(k, F.lit(reach))), ""), F.lit(look_back)),
                     F.lit(label_rx),
                     F.lit(1),
                 ),
@@ -92,7 +103,7 @@ def provenance(
     want = F.regexp_replace("label", "^0+", "")
     outcome = (
         F.when(F.col("_body").isNull(), "source text missing")
-        .when(F.length("_probe") < 30, "too short to verify")
+        .when(F.length("_probe") < SHORTEST_PROBE, "too short to verify")
         .when(F.size("_pieces") < 2, "text not in source")
         .when(F.array_contains("_above", want), "verified")
         .when(F.forall("_above", lambda x: x == ""), "no label above it")
@@ -138,7 +149,7 @@ def answer_context(rows: DataFrame, sources: DataFrame, needles=(400, 240, 160,
     whole = F.when((F.length("_said") < needles[0]) & F.col("_doc").contains(F.col("_said")), F.col("_said"))
     j = staged(j, _needle=F.coalesce(whole, *found)).where("_needle IS NOT NULL")
     at = F.instr(F.col("_doc"), F.col("_needle"))
-    places = F.size(F.split("_doc", F.concat(F.lit(r"\Q"), F.col("_needle"), F.lit(r"\E")), -1)) - 1
+    places = F.size(F.split("_doc", quote(F.col("_needle")), -1)) - 1
     return j.select(
         "doc_id",
         "label",

@@ -522,6 +522,82 @@ def segment_author(spark, sf):
     return s.where("author <> ''").select("doc_id", "label", "author", "author_basis")
 
 
+@query(
+    "best_report_label",
+    f"""WITH {REPORTS_SQL}, again AS (SELECT o_orderkey AS doc_id, 1 AS i, 'The Nationals recommend program ' || o_custkey || ' go and that it must' AS asked, 'Nationals' AS author, 'named' AS basis FROM orders WHERE o_orderkey % 5 = 0
+      UNION ALL SELECT o_orderkey, 20, CASE WHEN o_orderkey % 2 = 0 THEN 'That program ' || o_custkey || ' must be kept for some years' ELSE 'That program ' || o_custkey || ' must be kept for many more years' END, '', '' FROM orders WHERE o_orderkey % 3 = 2),
+    u AS (SELECT * FROM x UNION ALL SELECT * FROM again)
+    SELECT doc_id, i::VARCHAR AS label, asked, author, basis AS author_basis FROM u QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY author <> '', length(asked)) = 1""",
+)
+def best_report_label(spark, sf):
+    """The reports with a label that restarts under a party, and one printed twice."""
+    key, p = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    orders = load(spark, sf, "orders").select(key.alias("doc_id"), F.col("o_custkey").cast("string").alias("p"))
+    more = F.concat(
+        F.when(
+            F.col("doc_id") % 3 == 2,
+            F.concat(
+                F.lit("\nRecommendation 20\nThat program "), F.col("p"), F.lit(" must be kept for many more years\nChapter 3\n"),
+                F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("\nRecommendation 20\nThat program "), F.col("p"), F.lit(" must be kept for some years\nChapter 4\n"))).otherwise(""),
+            ),
+        ).otherwise(""),
+        F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("\nRecommendation 1\nThe Nationals recommend program "), F.col("p"), F.lit(" go and that it must.\n"))).otherwise(""),
+    )
+    docs = reports(spark, sf).join(orders, "doc_id").select("doc_id", F.concat("text", more).alias("text"))
+    return segments.best_report_label(segments.report_segments(docs, "doc_id", "text"))
+
+
+PROSE_SAID = {
+    0: "The Government agrees-in-principle to this recommendation. Work on program {p} is under way.",
+    1: "The Government notes this recommendation. All of program {p} will be implemented with regard to the recommendations of the review.",
+    3: "The Government accepts this recommendation. As noted in the response to\nrecommendation 2, on program {p}, work goes on.",
+    4: "The Government does not support this recommendation.",
+}
+
+
+def prose(spark, sf):
+    """Responses in prose, one per order: answers, bare mentions, a heading in the contents, a page's own line."""
+    key, party = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+
+    def item(i):
+        form, n = listed(i), i.cast("string")
+        said = F.lit("")
+        for f, words in PROSE_SAID.items():
+            before, *after = words.split("{p}")
+            said = F.when(form == f, F.concat(F.lit(before), *([party, F.lit(after[0])] if after else []))).otherwise(said)
+        return F.concat(
+            F.lit("Recommendation "), n, F.when(form == 0, F.concat(F.lit(": Program "), party)).otherwise(""), F.lit("\n"),
+            F.when(form == 2, "This recommendation is contained in the confidential interim report.\n").otherwise(
+                F.concat(F.lit("That the program be funded.\n\n"), said, F.lit("\nGovernment Response Review "), n, F.lit("\n"))
+            ),
+        )
+
+    def listed(i):
+        return (key + F.col("o_custkey") + i) % 6
+
+    items = F.sequence(F.lit(1), (key % 4 + 3).cast("int"))
+    contents = F.transform(F.filter(items, lambda i: listed(i) == 5), lambda i: F.concat(F.lit("Recommendation "), i.cast("string"), F.lit(" ........ 7\n")))
+    body = F.array_join(F.concat(contents, F.transform(F.filter(items, lambda i: listed(i) != 5), item)), "")
+    return load(spark, sf, "orders").select(key.alias("doc_id"), F.lit("Government Response Review").alias("title"), body.alias("text"))
+
+
+@query(
+    "prose_answers",
+    """WITH i AS (SELECT o_orderkey AS doc_id, i, o_custkey AS p, (o_orderkey + o_custkey + i) % 6 AS f FROM orders, range(1, 7) g(i) WHERE i <= o_orderkey % 4 + 3)
+    SELECT doc_id, i::VARCHAR AS label, CASE WHEN f IN (1, 2) THEN 'noted' ELSE 'position' END AS state, CASE f WHEN 0 THEN 'in part or in principle' WHEN 3 THEN 'accepted' WHEN 4 THEN 'not accepted' ELSE '' END AS verdict,
+      CASE f WHEN 0 THEN 'The Government agrees-in-principle' WHEN 3 THEN 'The Government accepts' WHEN 4 THEN 'The Government does not support' ELSE '' END AS stated,
+      CASE f WHEN 0 THEN 'The Government agrees-in-principle to this recommendation. Work on program ' || p || ' is under way.'
+        WHEN 1 THEN 'The Government notes this recommendation. All of program ' || p || ' will be implemented with regard to the recommendations of the review.'
+        WHEN 3 THEN 'The Government accepts this recommendation. As noted in the response to recommendation 2, on program ' || p || ', work goes on.'
+        WHEN 4 THEN 'The Government does not support this recommendation.' ELSE '' END AS said,
+      CASE f WHEN 2 THEN 'named in the response, and no position on it is stated' ELSE '' END AS note
+    FROM i WHERE f <> 5""",
+)
+def prose_answers(spark, sf):
+    docs = prose(spark, sf)
+    return segments.prose_answers(docs, "doc_id", "text", corpus.furniture(docs, times=1).select("doc_id", "line"))
+
+
 LONG_LABEL = r"(?m)^[ \t]*Recommendation[ \t]+(\d{1,3}\.\d{1,3})[ \t]*:?"
 
 

@@ -44,8 +44,8 @@ def best_per_label(spark, sf):
     )
 
 
-def judged(spark, sf):
-    return segments.read(answers(spark, sf), "doc_id", "text")
+def judged(spark, sf, carry=()):
+    return segments.read(answers(spark, sf), "doc_id", "text", carry)
 
 
 @query(
@@ -77,8 +77,7 @@ SCOPE_SQL = "CASE WHEN author <> '' THEN 'dissent' WHEN tabled >= DATE '2001-01-
     SELECT doc_id, label, CASE WHEN d THEN 'dissent' WHEN tabled >= DATE '2001-01-01' THEN 'awaiting' WHEN body = '5-LOW' THEN 'out of scope' ELSE state END AS state FROM g""",
 )
 def answer_state(spark, sf):
-    docs = answers(spark, sf)
-    s = judged(spark, sf).join(docs.select("doc_id", "tabled", "body"), "doc_id")
+    s = judged(spark, sf, ("tabled", "body"))
     state = wording.answer_state(
         F.col("author"),
         F.when(F.col("tabled") < F.to_date(F.lit("2001-01-01")), F.col("doc_id")),
@@ -173,8 +172,8 @@ def coverage_per_doc(spark, sf):
     FROM d GROUP BY GROUPING SETS ((), (y), (period), (body))""",
 )
 def coverage_grouping_sets(spark, sf):
-    docs = answers(spark, sf).select("doc_id", "tabled", "body")
-    d = coverage.per_document(judged(spark, sf)).join(docs, "doc_id")
+    carry = ("tabled", "body")
+    d = coverage.per_document(judged(spark, sf, carry), carry)
     # The period table is a fixed parameter of a few rows.
     d = d.join(F.broadcast(periods(spark)), (F.col("tabled") >= F.col("starts")) & (F.col("tabled") < F.col("ends")))
     return coverage.rollup(d.withColumn("y", F.year("tabled").cast("string")), {"year": "y", "period": "period", "class": "body"})

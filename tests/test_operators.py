@@ -62,13 +62,12 @@ def test_blank_bodies_agree_with_all(spark):
     assert pairs == {(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (3, 1)}
 
 
-def test_phrases_meet_alike_however_many(spark):
+def test_phrases_of_any_length_meet_and_blank_ones_do_not(spark):
     texts = [(i, t) for i, t in enumerate(["Inquiry of NATION_12 affairs", "nation_1", "a NT matter", "none", "xNATION_2x"])]
-    phrases = [(i, p) for i, p in enumerate(["NATION_1", "NATION_2", "NT", "nation_12", "Q"])]
+    phrases = [(i, p) for i, p in enumerate(["NATION_1", "NATION_2", "NT", "nation_12", "Q", "", " "])]
     df, p = spark.createDataFrame(texts, "id long, t string"), spark.createDataFrame(phrases, "place long, phrase string")
-    want = {(i, j) for i, t in texts for j, x in phrases if x.lower() in t.lower()}
-    for few in (1000, 1):
-        assert {(r["id"], r["place"]) for r in matching.phrase_matches(df, p, "t", few).collect()} == want
+    want = {(i, j) for i, t in texts for j, x in phrases if x.strip() and x.lower() in t.lower()}
+    assert {(r["id"], r["place"]) for r in matching.phrase_matches(df, p, "t").collect()} == want
 
 
 def test_a_numbered_report_needs_its_number(spark):
@@ -178,3 +177,48 @@ def test_refresh_runs_its_steps_in_order(spark):
     assert [(r["lid"], r["rid"]) for r in out["on_both"].collect()] == [(3, 5)]
     assert {r["as_at"].month: r["backlog"] for r in out["backlog"].collect()}[8] == 3
     assert out["faults"].count() == 0
+
+
+def test_an_answer_is_judged_whole(spark):
+    asked = "The committee recommends that the Australian Government fund the program for ten further years"
+    reasons = "It has been weighed with care by all who took part in the work. " * 50
+    text = f"Recommendation 1\n{asked}.\n\nGovernment response: {reasons}The Government does not support this recommendation.\n"
+    got = segments.read(spark.createDataFrame([(1, text)], "d long, t string"), "d", "t").collect()
+    assert [(r["state"], r["verdict"]) for r in got] == [("position", "not accepted")] and len(got[0]["said"]) > 3000
+
+
+def test_an_item_too_long_is_refused_and_not_cut(spark):
+    long = "That the program be kept and that it must be reviewed again " * 40
+    docs = spark.createDataFrame([(1, f"Recommendation 1\n{long}\nChapter 2\n")], "d long, t string")
+    got = segments.report_segments(docs, "d", "t").collect()
+    assert [r["why"] for r in got] == ["length"] and len(got[0]["asked"]) > segments.REPORT_MAX
+    assert segments.best_report_label(segments.report_segments(docs, "d", "t")).count() == 0
+
+
+def test_the_committee_wins_a_label_over_a_shorter_dissent(spark):
+    text = "Recommendation 1\nThe committee recommends that the whole program be extended by four more years.\nChapter 2\n\nRecommendation 1\nThe Greens recommend that it must be closed.\n"
+    found = segments.report_segments(spark.createDataFrame([(1, text)], "d long, t string"), "d", "t")
+    assert [(r["author"], r["asked"][:13]) for r in segments.best_report_label(found).collect()] == [("", "The committee")]
+
+
+def test_a_quotation_may_hold_what_ends_a_quote(spark):
+    asked = r"The committee recommends that paths like C:\Ends and \Q be read as they stand (every time) in all of the records"
+    docs = spark.createDataFrame([(1, f"Recommendation 3\n{asked}.\n")], "doc_id long, text string")
+    rows = spark.createDataFrame([(1, "3", asked)], "doc_id long, label string, asked string")
+    assert [r["outcome"] for r in corpus.provenance(rows, docs, r"(?i)Recommendation\s*(\d{1,3})").collect()] == ["verified"]
+
+
+def test_a_probe_in_many_places_finds_each_label(spark):
+    words = "the same words stand under every label of this long text"
+    text = "".join(f"Recommendation {i % 999}\n{words}.\n" for i in range(4000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = spark.createDataFrame([(1, str(n), words) for n in (0, 500, 998, 999)], "doc_id long, label string, asked string")
+    got = {r["label"]: r["outcome"] for r in corpus.provenance(rows, docs, r"(?i)Recommendation\s*(\d{1,3})").collect()}
+    assert got["500"] == got["998"] == "verified" and got["999"] == "label does not match"
+
+
+def test_a_late_position_replaces_a_bare_mention(spark):
+    text = "Recommendation 7\nThis recommendation is held in a confidential part.\nRecommendation 7\nThe Government accepts this recommendation.\nRecommendation 8 and 9\nThe Government will think about it. It supports recommendation 8 of others.\n"
+    got = {r["label"]: (r["state"], r["verdict"], r["said"]) for r in segments.prose_answers(spark.createDataFrame([(1, text)], "d long, t string"), "d", "t").collect()}
+    assert got["7"] == ("position", "accepted", "The Government accepts this recommendation.")
+    assert got["8"][0] == "position"
