@@ -54,6 +54,18 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def thinned(rows: DataFrame, group: str, hash_col: str, most: int) -> DataFrame:
+    """Rows that may hold the `most` smallest hashes of their group: at any size of the group about
+    4 * most different hashes of it, all of them where it has fewer.
+
+    The bar comes from a count of the distinct hashes (a few percent off, which four times as
+    many as wanted covers), so what goes on to a choice does not grow with the table. What is
+    broadcast is a row a group: a label or language that a model is made for."""
+    sizes = rows.groupBy(group).agg(F.approx_count_distinct(hash_col).alias("__size"))
+    share = F.shiftrightunsigned(F.col(hash_col), 11) / F.lit(float(1 << 53))
+    return rows.join(F.broadcast(sizes), group).where(share * F.col("__size") < 4 * most).drop("__size")
+
+
 def key_of(*cols: Column) -> Column:
     """128 bits of two independent hashes, as one short string-free struct key."""
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(7), *cols).alias("b"))

@@ -7,7 +7,7 @@ weight it leaves to the next lower order. The language of the lowest cross-entro
 wins. A text is rejected when it has no letter, or when that cross-entropy lies above a limit
 calibrated on learning texts that the counts have not seen.
 
-Learning takes at most `per_lang` texts of each language (those with the smallest text hashes)
+Learning takes at most `per_lang` different texts of each language (those of the smallest hashes)
 and the first `chars` characters of each: both bounds are parameters and what the driver holds.
 Every text is scored whole, in one pass without a shuffle.
 
@@ -186,11 +186,14 @@ def fit(samples: dict[str, list[str]], margin: float = 1.0) -> Model:
 
 
 def learned(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 500, chars: int = 3000) -> Model:
-    """A model from labelled rows, at most `per_lang` of a language."""
+    """A model from labelled rows, at most `per_lang` different texts of a language.
+
+    Only some 4 * per_lang texts of a language are shuffled to be chosen from, whatever the table holds."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col)).alias("h"), F.substring(F.col(text_col), 1, chars).alias("text")
     )
-    first = Window.partitionBy("lang").orderBy("h", "text")
+    first = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 1), "text")
+    rows = common.thinned(rows, "lang", "h", per_lang).dropDuplicates(["lang", "h"])
     taken = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("lang", "n", "text").collect()
     samples: dict = {}
     for r in sorted(taken, key=lambda r: (r["lang"], r["n"])):

@@ -134,9 +134,10 @@ def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """A network from at most `per_class` labelled documents of each label."""
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    first = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
+    first = Window.partitionBy("y").orderBy(F.shiftrightunsigned("h", 1), "doc_id")
+    few = common.thinned(known.withColumn("h", F.xxhash64("doc_id")), "y", "h", per_class).distinct()
     # chosen before the texts are touched: a list bounded by the parameters meets the documents
-    chosen = known.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_class).select("doc_id", "y")
+    chosen = few.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_class).select("doc_id", "y")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     bounded = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", F.substring(F.encode("text", "UTF-8"), 1, most_bytes).alias("raw"))
     rows = bounded.orderBy(F.xxhash64("doc_id"), "doc_id", "y", "raw").limit(2 * per_class).collect()

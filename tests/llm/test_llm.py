@@ -11,7 +11,7 @@ import compare
 import corpus_pipeline
 import numpy as np
 import pytest
-from duebook.llm import ann, components, exact_dedup, html_extract, langid, near_dedup, packing, quality, secrets, sentencepiece_codec, warc
+from duebook.llm import ann, common, components, exact_dedup, html_extract, langid, near_dedup, packing, quality, secrets, sentencepiece_codec, warc
 from duebook.llm.queries import ORACLES, QUERIES, tokenizer
 from pyspark.sql import functions as F
 
@@ -197,6 +197,17 @@ def test_language_of_held_out_documents(spark):
     assert good >= 0.97 * n and kept >= 0.99 * n
 
 
+def test_learning_texts_are_bounded_and_blind_to_copies(spark):
+    rows = [(i, f"text number {i % 9000}", "en") for i in range(9000)] + [(i, "one copied text", "en") for i in range(9000)] + [(i, f"autre {i}", "fr") for i in range(30)] + [(1, None, "en"), (2, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("h", F.xxhash64("text")).where("lang is not null and text is not null")
+    few = common.thinned(docs, "lang", "h", 50)
+    n = {r.lang: r.n for r in few.groupBy("lang").agg(F.count_distinct("h").alias("n")).collect()}
+    assert n["fr"] == 30 and 100 <= n["en"] <= 400
+    least = lambda d: [r.h for r in d.where("lang = 'en'").select("h").distinct().orderBy(F.shiftrightunsigned("h", 11)).limit(50).collect()]
+    assert least(few) == least(docs)
+    assert common.thinned(docs.limit(0), "lang", "h", 50).count() == 0
+
+
 def test_language_odd_rows():
     m = langid.fit({"a": ["the cat sat on the mat"] * 6, "b": ["der hund lag auf dem bett"] * 6})
     langs, score, _, accepted = m.predict(["", "12 !", "the cat", "hund", "漢字漢字漢字漢字漢字"])
