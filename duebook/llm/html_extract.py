@@ -53,6 +53,7 @@ NAMED = frozenset(
     "share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond login signin search searchbox toolbar pagination "
     "pager widget widgets copyright paywall skip".split()
 )
+BESIDE = frozenset("has with without no".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section summary table ul li dt dd".split()
@@ -74,6 +75,18 @@ class Node:
         self.tag, self.name, self.noise, self.kids, self.key = tag, name, noise, [], 0
 
 
+def names_noise(value: str) -> bool:
+    """Whether a class or an id names a part that is no article; "has-sidebar" names one beside it."""
+    for name in value.split():
+        before = ""
+        for w in WORD.findall(name):
+            w = w.lower()
+            if w in NAMED and before not in BESIDE:
+                return True
+            before = w
+    return False
+
+
 def opened(tag: str, attributes: str) -> Node:
     noise, name = tag in NOISE, ""
     if attributes and not attributes.isspace():
@@ -81,7 +94,7 @@ def opened(tag: str, attributes: str) -> Node:
             what, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if what in ("class", "id"):
                 name += f" {value}"
-                noise = noise or not NAMED.isdisjoint(w.lower() for w in WORD.findall(value))
+                noise = noise or names_noise(value)
             elif what == "role":
                 noise = noise or value.lower() in ROLES
             elif what == "style":

@@ -305,6 +305,7 @@ def test_main_text_of_a_page():
     assert html_extract.main_text(None, "h") == html_extract.main_text("", "h") == ""
     assert html_extract.main_text("<div>" * 50_000 + "deep", "h") == "deep"
     assert html_extract.main_text("a < b <p>c", "h") == "a < b c"
+    assert html_extract.main_text("<div class='page with-sidebar'><p>kept<div class='sidebar'>no</div><div class='no-ads adBox'>no</div></div>", "h") == "kept"
 
 
 def test_template_subtrees_go_and_shared_passages_stay(spark):
