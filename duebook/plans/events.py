@@ -32,11 +32,9 @@ def incremental_lookback(spark, sf):
     """Re-read the days before the newest row held, and keep what is not held."""
     e = events(spark, sf)
     known = e.where((F.col("value") < 50) & (F.col("day") < F.to_date(F.lit("2024-01-20"))))
-    newest = known.agg(F.max("day").alias("d")).first()["d"]
-    if newest is None:
-        return e.select("event_id", "day", "event_type")
+    newest = known.agg(F.max("day").alias("d")).scalar()  # one value, read as the query runs; none held: all is new
     return (
-        e.where(F.col("day") > F.date_sub(F.lit(newest), 10))
+        e.where(F.coalesce(F.col("day") > F.date_sub(newest, 10), F.lit(True)))
         .join(known.select("event_id"), "event_id", "left_anti")
         .select("event_id", "day", "event_type")
     )
@@ -121,12 +119,15 @@ def stream_stale_sources(spark, sf):
     f"SELECT {DAY}::VARCHAR AS day, event_type, count(*) AS events, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY ALL",
 )
 def stream_dedupe(spark, sf):
-    """Every event lands twice, the second copy up to ten days late, and is kept once."""
+    """Every event lands twice, the second copy in a later batch and dated up to ten days later, and is kept once."""
     folder = increments.work_folder(spark, "dedupe")
-    s = stream_of_events(spark, sf)
-    late = F.array(F.struct(F.col("ts").alias("ts")), F.struct(F.col("ts").alias("ts")))
-    doubled = s.select("event_id", "event_type", F.explode(late).alias("c")).select("event_id", "event_type", "c.ts")
-    once = increments.dedupe_late(doubled, "ts", ["event_id"])
+    e = load(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    late = F.col("ts") + F.make_dt_interval((F.col("event_id") % 11).cast("int"))
+    e.write.parquet(f"{folder}/landed/copy=1")
+    e.withColumn("ts", late).write.parquet(f"{folder}/landed/copy=2")
+    files = len(spark.read.parquet(f"{folder}/landed/copy=1").inputFiles())  # the first batch is the first landing
+    s = increments.landed(spark, f"{folder}/landed", files_per_batch=files).select("event_id", "event_type", "ts")
+    once = increments.dedupe_late(s, "ts", ["event_id"])
     rows = increments.collect_stream(spark, once, folder)
     return rows.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
 
