@@ -1,7 +1,9 @@
 """Main text of pages, with each site's template removed.
 
 A page becomes a tree of elements. What its markup names as no part of the article (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) goes by name. For the rest,
+headers, footers, sidebars, notices, adverts, forms, comments) goes by name. Inside an article a
+class or an id must name such a part as a whole ("search-box", not "search-algorithms"); an id there
+counts for nothing on a block with most of the article's text, nor on any heading. For the rest,
 every block element's subtree is hashed, tags, classes and text; Spark counts in how many
 different pages of its host each subtree stands, copies of one page once, and the subtrees that
 recur across many pages of the host are the template and go too. Inside an article a subtree must
@@ -54,6 +56,13 @@ NAMED = frozenset(
     "pager widget widgets copyright paywall skip".split()
 )
 BESIDE = frozenset("has with without no".split())
+#: Words that may stand beside those of NAMED in a name that as a whole names such a part.
+AROUND = frozenset(
+    "site page main global top bottom left right header post article entry content blog primary secondary inline sticky floating mobile desktop js wp "
+    "box bar wrapper wrap container inner outer block area section panel pane group list item items row column col button buttons btn icon icons link links "
+    "form input field toggle slot unit placeholder posts articles stories thread message count counter title heading".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section summary table ul li dt dd".split()
@@ -69,14 +78,18 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "name", "noise", "kids", "key")
+    """`noise` goes wherever it stands; `hint` is a word of a name, and `by_id` an id that names a
+    part: both are judged by the place. `size` and `own` are characters below, `own` without what
+    an id names."""
+
+    __slots__ = ("tag", "name", "noise", "hint", "by_id", "kids", "key", "size", "own")
 
-    def __init__(self, tag: str, name: str = "", noise: bool = False):
-        self.tag, self.name, self.noise, self.kids, self.key = tag, name, noise, [], 0
+    def __init__(self, tag: str, name: str = "", noise: bool = False, hint: bool = False, by_id: bool = False):
+        self.tag, self.name, self.noise, self.hint, self.by_id, self.kids, self.key, self.size, self.own = tag, name, noise, hint, by_id, [], 0, 0, 0
 
 
 def names_noise(value: str) -> bool:
-    """Whether a class or an id names a part that is no article; "has-sidebar" names one beside it."""
+    """Whether a word of a class or an id names a part that is no article; "has-sidebar" names one beside it."""
     for name in value.split():
         before = ""
         for w in WORD.findall(name):
@@ -87,21 +100,33 @@ def names_noise(value: str) -> bool:
     return False
 
 
+def names_part(value: str) -> bool:
+    """Whether a class or an id as a whole names a part that is no article: "search-box", not "search-algorithms"."""
+    for name in value.split():
+        found = [w.lower() for w in WORD.findall(name)]
+        if any(w in NAMED for w in found) and all(w in NAMED or w in AROUND or w.isdigit() for w in found):
+            return True
+    return False
+
+
 def opened(tag: str, attributes: str) -> Node:
-    noise, name = tag in NOISE, ""
+    noise, name, hint, by_id = tag in NOISE, "", False, False
     if attributes and not attributes.isspace():
         for m in ATTRIBUTE.finditer(attributes):
             what, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if what in ("class", "id"):
                 name += f" {value}"
-                noise = noise or names_noise(value)
+                if (what == "class" or tag not in HEADINGS) and names_noise(value):
+                    part, hint = names_part(value), True
+                    by_id = by_id or (part and what == "id")
+                    noise = noise or (part and what == "class")
             elif what == "role":
                 noise = noise or value.lower() in ROLES
             elif what == "style":
                 noise = noise or bool(HIDDEN.search(value))
             elif what == "hidden" or value.lower() == "true":
                 noise = True
-    return Node(tag, name, noise and tag not in NEVER)
+    return Node(tag, name, *(x and tag not in NEVER for x in (noise, hint, by_id)))
 
 
 def parse(page: str) -> Node:
@@ -152,10 +177,43 @@ def close(stack: list[Node], tag: str) -> None:
             return
 
 
+def judge(root: Node) -> None:
+    """Take names for noise by the place they stand in.
+
+    Outside an article a word of a name is enough, save on a block that holds most of the page's
+    text; inside it an id must name a part, and not stand on most of the article's text."""
+    order, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        order.append(n)
+        todo.extend(k for k in n.kids if type(k) is Node and not k.noise)
+    for n in reversed(order):
+        for k in n.kids:
+            if type(k) is str:
+                long = len(k.strip())
+                n.size += long
+                n.own += long
+            elif not k.noise:
+                n.size += k.size
+                n.own += 0 if k.by_id else k.own
+    todo = [(root, None)]
+    while todo:
+        n, within = todo.pop()
+        if n.hint:
+            if within is not None:
+                n.noise = n.by_id and 2 * n.size <= within.size
+            else:
+                n.noise = n.by_id or 2 * n.own <= root.own
+        if not n.noise:
+            here = n if n.tag == "article" else within
+            todo.extend((k, here) for k in n.kids if type(k) is Node and not k.noise)
+
+
 def marked(root: Node, host: str) -> tuple[list[int], list[int], int]:
     """Keys of the block subtrees outside and inside an article, and one of the whole kept content.
 
     Each node gets its key. The walk keeps its own stack, so depth costs nothing but memory."""
+    judge(root)
     outside, inside = [], []
     salt = host.encode("utf-8", "replace")
     todo = [(root, False, False)]

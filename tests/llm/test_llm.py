@@ -308,6 +308,17 @@ def test_main_text_of_a_page():
     assert html_extract.main_text("<div class='page with-sidebar'><p>kept<div class='sidebar'>no</div><div class='no-ads adBox'>no</div></div>", "h") == "kept"
 
 
+def test_names_inside_an_article_must_name_a_part_as_a_whole():
+    page = (
+        "<div class='social-x'>no</div><article><h2 id='social-policy'>A</h2><h2 id=comments>B</h2><section id='search-algorithms'>c</section><div id='related-work'>d</div><span class='share-price'>e</span>"
+        "<div class='social-share'>no</div><div class='searchBox'>no</div><div id='related-posts'>no</div><div class='post-comments'>no</div><section id='notices'>%s</section></article>"
+    )
+    long = "most of the article stands in here, whatever the id says about it " * 2
+    assert html_extract.main_text(page % long, "h").replace(" ", "") == "ABcde" + long.replace(" ", "")
+    assert html_extract.main_text(page % "f", "h").replace(" ", "") == "ABcde"
+    assert html_extract.main_text("<div class='social-policy-page'><article>all of it</article></div><div class='social-x'>no</div>", "h") == "all of it"
+
+
 def test_template_subtrees_go_and_shared_passages_stay(spark):
     shared = "<p>A passage that two documents share.</p>"
     rows = [(i, "http://h.example/%d" % i, f"<div class=x><p>Site words everywhere</p></div><article><p>own {i}</p>{shared if i < 4 else ''}</article>") for i in range(20)]
