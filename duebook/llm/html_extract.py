@@ -6,8 +6,10 @@ class or an id must name such a part as a whole ("search-box", not "search-algor
 counts for nothing on a block with most of the article's text, nor on any heading. For the rest,
 every block element's subtree is hashed, tags, classes and text; Spark counts in how many
 different pages of its host each subtree stands, copies of one page once, and the subtrees that
-recur across many pages of the host are the template and go too. Inside an article a subtree must
-stand in most of the host's pages to be template, so a passage that documents share stays.
+recur across many pages of the host are the template and go too; on a large host a fixed count of
+pages is enough. Inside an article a subtree must stand in most of the host's pages to be template,
+so a passage that documents share stays. An article is what <article>, <main> or role=main holds, and
+where these hold less than most of a page's text, the innermost block that does.
 
 Counting combines on the map side by (host, subtree), so a host of any size is spread over the
 tasks. Templates are shipped to the tasks when there are at most `broadcast_most` of them;
@@ -34,9 +36,9 @@ from pyspark.sql import types as T
 
 from duebook.llm import common
 
-#: A subtree outside the article is template on this many pages and this share of the host's;
-#: inside it, on this many and this share.
-OUTSIDE, INSIDE = (3, 0.1), (5, 0.5)
+#: A subtree outside the article is template on this many pages and this share of the host's, or on
+#: ENOUGH pages of any host; inside it, on this many and this share.
+OUTSIDE, INSIDE, ENOUGH = (3, 0.1), (5, 0.5), 10
 #: Templates that are broadcast, eight bytes each.
 BROADCAST_MOST = 2_000_000
 
@@ -63,6 +65,8 @@ AROUND = frozenset(
     "form input field toggle slot unit placeholder posts articles stories thread message count counter title heading".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that may be the block that holds most of a page's text; a paragraph or a list is not.
+HOLDERS = frozenset("html body main article section div center table tbody tr td".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section summary table ul li dt dd".split()
@@ -80,12 +84,14 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Node:
     """`noise` goes wherever it stands; `hint` is a word of a name, and `by_id` an id that names a
     part: both are judged by the place. `size` and `own` are characters below, `own` without what
-    an id names."""
+    an id names. `article` says that what stands below is inside an article, `most` that the block
+    holds most of the page's text."""
 
-    __slots__ = ("tag", "name", "noise", "hint", "by_id", "kids", "key", "size", "own")
+    __slots__ = ("tag", "name", "noise", "hint", "by_id", "kids", "key", "size", "own", "article", "most")
 
     def __init__(self, tag: str, name: str = "", noise: bool = False, hint: bool = False, by_id: bool = False):
         self.tag, self.name, self.noise, self.hint, self.by_id, self.kids, self.key, self.size, self.own = tag, name, noise, hint, by_id, [], 0, 0, 0
+        self.article, self.most = tag in ("article", "main"), False
 
 
 def names_noise(value: str) -> bool:
@@ -110,7 +116,7 @@ def names_part(value: str) -> bool:
 
 
 def opened(tag: str, attributes: str) -> Node:
-    noise, name, hint, by_id = tag in NOISE, "", False, False
+    noise, name, hint, by_id, main = tag in NOISE, "", False, False, False
     if attributes and not attributes.isspace():
         for m in ATTRIBUTE.finditer(attributes):
             what, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -121,12 +127,14 @@ def opened(tag: str, attributes: str) -> Node:
                     by_id = by_id or (part and what == "id")
                     noise = noise or (part and what == "class")
             elif what == "role":
-                noise = noise or value.lower() in ROLES
+                noise, main = noise or value.lower() in ROLES, value.lower() == "main"
             elif what == "style":
                 noise = noise or bool(HIDDEN.search(value))
             elif what == "hidden" or value.lower() == "true":
                 noise = True
-    return Node(tag, name, *(x and tag not in NEVER for x in (noise, hint, by_id)))
+    node = Node(tag, name, *(x and tag not in NEVER for x in (noise, hint, by_id)))
+    node.article = node.article or main
+    return node
 
 
 def parse(page: str) -> Node:
@@ -178,7 +186,7 @@ def close(stack: list[Node], tag: str) -> None:
 
 
 def judge(root: Node) -> None:
-    """Take names for noise by the place they stand in.
+    """Find the articles, and take names for noise by the place they stand in.
 
     Outside an article a word of a name is enough, save on a block that holds most of the page's
     text; inside it an id must name a part, and not stand on most of the article's text."""
@@ -196,6 +204,17 @@ def judge(root: Node) -> None:
             elif not k.noise:
                 n.size += k.size
                 n.own += 0 if k.by_id else k.own
+    for n in order:
+        n.most = 2 * n.own > root.own
+    held, todo = 0, [root]
+    while todo:
+        n = todo.pop()
+        if n.article:
+            held += n.own  # the outermost ones
+        elif not (n.by_id or (n.hint and not n.most)):
+            todo.extend(k for k in n.kids if type(k) is Node and not k.noise)
+    if 2 * held < root.own:
+        holder(root).article = True
     todo = [(root, None)]
     while todo:
         n, within = todo.pop()
@@ -203,12 +222,22 @@ def judge(root: Node) -> None:
             if within is not None:
                 n.noise = n.by_id and 2 * n.size <= within.size
             else:
-                n.noise = n.by_id or 2 * n.own <= root.own
+                n.noise = n.by_id or not n.most
         if not n.noise:
-            here = n if n.tag == "article" else within
+            here = n if n.article else within
             todo.extend((k, here) for k in n.kids if type(k) is Node and not k.noise)
 
 
+def holder(root: Node) -> Node:
+    """The innermost block that holds most of the page's text; one without a name and without blocks is a passage."""
+    n = root
+    while True:
+        inner = next((k for k in n.kids if type(k) is Node and k.most and not (k.noise or k.by_id) and (k.tag in HOLDERS or "-" in k.tag)), None)
+        if inner is None or not (inner.name or any(type(k) is Node and k.tag not in INLINE and k.tag not in VOID for k in inner.kids)):
+            return n
+        n = inner
+
+
 def marked(root: Node, host: str) -> tuple[list[int], list[int], int]:
     """Keys of the block subtrees outside and inside an article, and one of the whole kept content.
 
@@ -221,7 +250,7 @@ def marked(root: Node, host: str) -> tuple[list[int], list[int], int]:
         node, article, done = todo.pop()
         if node.noise:
             continue
-        here = article or node.tag == "article"
+        here = article or node.article
         if not done:
             todo.append((node, article, True))
             todo.extend((k, here, False) for k in node.kids if type(k) is Node)
@@ -230,7 +259,7 @@ def marked(root: Node, host: str) -> tuple[list[int], list[int], int]:
         text = f"{node.tag}{node.name}\x00{'\x00'.join(p for p in parts if p)}"
         node.key = int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8, key=salt[:64]).digest(), "little", signed=True)
         if node.tag and node.tag not in INLINE and node.tag not in NEVER and node.tag not in VOID and any(parts):
-            (inside if article else outside).append(node.key)
+            (inside if article or node.article or node.most else outside).append(node.key)
     return outside, inside, root.key
 
 
@@ -317,7 +346,7 @@ def templates(found: DataFrame) -> DataFrame:
     each = pages.select("host", F.explode(F.arrays_zip("keys", "inside")).alias("s")).groupBy("host", F.col("s.keys").alias("key")).agg(F.count("*").alias("n"), F.max("s.inside").alias("inside"))
     each = each.where(F.col("n") >= min(OUTSIDE[0], INSIDE[0])).join(totals, "host")
     rule = lambda least, share: (F.col("n") >= least) & (F.col("n") >= share * F.col("total"))
-    return each.where(F.when(F.col("inside"), rule(*INSIDE)).otherwise(rule(*OUTSIDE))).select("key")
+    return each.where(F.when(F.col("inside"), rule(*INSIDE)).otherwise(rule(*OUTSIDE) | (F.col("n") >= ENOUGH))).select("key")
 
 
 def texts_of(shared, html_col: str):

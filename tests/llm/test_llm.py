@@ -330,6 +330,24 @@ def test_template_subtrees_go_and_shared_passages_stay(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_template_on_a_large_host_and_articles_without_the_tag(spark):
+    shared = "<p>A passage that three documents share, long enough to be one.</p>"
+    heads = {"main": "<main>", "role": "<div role=main>", "post": "<div class=post>", "anonymous": "<div><div>"}
+    rows = [(f"hot{i}", f"http://hot.example/{i}", f"<div class=x>{'A block of the section.' if i < 12 else ''}</div><div class=post><p>The own text of page {i} is longer</p></div>") for i in range(200)]
+    want = {f"hot{i}": f"The own text of page {i} is longer" for i in range(200)}
+    for kind, head in heads.items():
+        for i in range(20):
+            own = f"Own {kind} text of page {i}, " + "which goes on for long " * (5 + i % 2)
+            rows.append((f"{kind}{i}", f"http://{kind}.example/{i}", f"<div class=x>The same on all pages</div>{head}<p>{own}</p>{shared if i < 3 else ''}"))
+            want[f"{kind}{i}"] = own.strip() + (" A passage that three documents share, long enough to be one." if i < 3 else "")
+    # one post under three addresses, beside other dates
+    rows += [(f"copy{i}", f"http://copies.example/{i}", f"<div>date {i}</div><div class=post><p>The whole post</p></div>") for i in range(3)]
+    want |= {f"copy{i}": f"date {i} The whole post" for i in range(3)}
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    assert {k: v for k, v in got.items() if want[k] != v} == {}
+
+
 # neighbours
 
 
