@@ -6,6 +6,10 @@ aggregation, and a value that many owners carry is an example that was copied ab
 value of one owner looks live. The count never gathers a group: a value that a third of the
 table carries is one partial row per task.
 
+A private key is the block from its BEGIN line to its END line, or without one to the end of its
+base64 lines, and its value is the base64 of the body, however that is wrapped, quoted or escaped. A
+header that no key follows is its own value.
+
 Positions are code points. `split` and `regexp_extract_all` walk a text alike (leftmost, not
 overlapping), so the lengths of the pieces and matches between them add up to every start; the
 running sum is a window over the matches of one text and kind, or, for the bulk of texts, over
@@ -39,17 +43,42 @@ KINDS = {
 }
 ORDER = list(KINDS)
 
+#: The header as `vendor` has it, its footer, what stands between the lines of a key, and its lines.
+HEADER, FOOTER = (f"-----{side} (?:[A-Z]+ )?PRIVATE KEY-----" for side in ("BEGIN", "END"))
+BETWEEN = "(?:[\\s\"'`,;#*>|+/]|\\\\+[rnt]?)"
+LINE_END = "(?=[\\x20\\t]*+(?:[\\r\\n\"'`\\\\]|\\z))"
+LINE = f"(?:[A-Za-z0-9+/=]{{40,}}+|[A-Za-z0-9+/=]{{16,}}+{LINE_END})"
+#: What may stand before the body: breaks, and fields such as Proc-Type and DEK-Info.
+FIELDS = f"{BETWEEN}*+(?:[A-Z][A-Za-z-]*+:\\x20*+[^\\s\\\\\"']++{BETWEEN}*+)*+"
+#: The whole key: to its footer, or to the end of its lines, of which the last may be short.
+KEY = (
+    f"{HEADER}(?:{FIELDS}[A-Za-z0-9+/=]{{16,}}+[^-]*+(?:-(?!----)[^-]*+)*+{FOOTER}"
+    f"|{FIELDS}{LINE}(?:{BETWEEN}++{LINE})*+(?:(?=[\\x20\\t\"'`+,]*+[\\r\\n\\\\]){BETWEEN}++[A-Za-z0-9+/=]++{LINE_END})?+)?+"
+)
+
+
+def key_body(value: Column) -> Column:
+    """The base64 of a private key; other values, and headers without a key, as they are."""
+    body = F.regexp_replace(value, f"{HEADER}|{FOOTER}|\\\\+[rnt]?|[\"'`]\\s*\\+\\s*[\"'`]", "")
+    body = F.regexp_replace(body, "[^A-Za-z0-9+/=]", "")
+    return F.when(value.startswith("-----BEGIN") & (F.length(body) >= KINDS["vendor"][2]), body).otherwise(value)
+
 
 def matches(text: Column, kind: str) -> Column:
     """The matches of a kind, in order: (length of the text since the last one, own length, value)."""
     pattern, group, least = KINDS[kind]
     if kind == "hex":  # the same spans as runs of any length with the short ones dropped, in fewer pieces
         pattern = "[0-9a-f]{%d,}" % least
+    if kind == "vendor":
+        pattern = pattern.replace(HEADER, KEY)
     p = F.lit(pattern)
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     whole = F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length)
     zipped = F.arrays_zip(gaps.alias("gap"), whole.alias("len"), F.regexp_extract_all(text, p, F.lit(group)).alias("value"))
-    return F.filter(zipped, lambda m: m["len"].isNotNull())  # the piece behind the last match has none
+    found = F.filter(zipped, lambda m: m["len"].isNotNull())  # the piece behind the last match has none
+    if kind == "vendor":
+        found = F.transform(found, lambda m: F.struct(m["gap"].alias("gap"), m["len"].alias("len"), key_body(m["value"]).alias("value")))
+    return found
 
 
 #: A cheap test whether a kind can occur at all; texts that fail it are not split.

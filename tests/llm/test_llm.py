@@ -267,6 +267,39 @@ def test_secrets_match_the_pattern_engine(spark):
         assert row.spans == ",".join(s for _, _, s in sorted(want))
 
 
+def test_private_keys_are_told_apart_by_their_bodies(spark):
+    import base64
+
+    def block(seed, width=64, br="\n", end=True, fields=""):
+        body = base64.b64encode(random.Random(seed).randbytes(600)).decode()
+        lines = [body[i : i + width] for i in range(0, len(body), width)]
+        return br.join(["-----BEGIN RSA PRIVATE KEY-----", *([fields + br] if fields else []), *lines, *(["-----END RSA PRIVATE KEY-----"] if end else [])])
+
+    alone = "-----BEGIN RSA PRIVATE KEY-----"
+    own = [
+        block(1), block(2, br="\r\n"), block(3, br="\\n"), block(4, br='" +\n  "'), block(5, end=False), block(6, br="\n# "), block(7, fields="Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B"),
+        block(8, br=" "), block(9, width=10_000, br=""), block(10, width=20, end=False), block(11, br="\n\n"), alone.replace("RSA", "EC") + "\n" + "QUJD" * 250_000 + "\n-----END EC PRIVATE KEY-----",
+    ]
+    copied = [block(99), block(99, width=76, br="\n  "), block(99, br="\\n")]
+    texts = [(f"own{i}", f"é🤖 before it\n{k}", k) for i, k in enumerate(own)] + [(f"copied{i}", f"see {k}", k) for i, k in enumerate(copied)]
+    texts += [("code", f'if text.startswith("{alone}") and text.endswith("-----END RSA PRIVATE KEY-----"): pass', alone)]
+    texts += [("prose", f"{alone}\nThe words of prose stay.\nThanks\n", alone), ("two", f"{block(21, end=False)}\n{alone}", None)]
+    docs = spark.createDataFrame([(n, t + ("" if n in ("code", "prose") else "\nand words behind it")) + (f"s{i}",) for i, (n, t, _) in enumerate(texts)], "doc_id string, text string, source string")
+    got = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    clear = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for name, text, key in texts:
+        if key:
+            at = text.index(key)
+            assert f"vendor:{at}:{at + len(key)}" in got[name].spans.split(","), name
+        if name.startswith("own"):
+            assert got[name].n_copied == 0 and clear[name] == "é🤖 before it\n[SECRET]\nand words behind it", name
+        if name.startswith("copied"):
+            assert got[name].n_copied >= 1 and clear[name] == text + "\nand words behind it", name
+    # the header alone is one value that three sources carry here; the key before it is masked
+    assert got["code"].n_copied == got["prose"].n_copied == 1
+    assert got["two"].n_live == got["two"].n_copied == 1 and clear["two"] == f"[SECRET]\n{alone}\nand words behind it"
+
+
 # archives
 
 
