@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import ann, exact_dedup, html_extract, langid, near_dedup, packing, quality, secrets, sentencepiece_codec, warc
+from duebook.llm import ann, exact_dedup, html_extract, langid, near_dedup, packing, quality, secrets, sentencepiece_codec, variants, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,6 +91,11 @@ def op10_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op11_variants(spark, sf_dir):
+    return variants.group(variants.vocabulary(table(spark, sf_dir, "documents")))
+
+
 ORACLES["op2_exact_dedup"] = """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,

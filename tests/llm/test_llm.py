@@ -45,7 +45,7 @@ def test_rows_equal(spark, con, name):
     assert compare.differences(mine, compare.duck_rows(con, ORACLES[name])) is None
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op11_variants"}))
 def test_each_query_answers_for_every_row(spark, name):
     table = {"op6_warc": "pages", "op8_html": "pages", "op9_ann": "embeddings"}.get(name, "documents")
     df = spark.read.parquet(f"{SF}/{table}.parquet")
