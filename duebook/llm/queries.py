@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm import ann, exact_dedup, html_extract, langid, near_dedup, packing, quality, secrets, sentencepiece_codec, variants, warc, word_runs
+from duebook.llm import ann, exact_dedup, html_extract, langid, near_dedup, packing, quality, secrets, sentencepiece_codec, suffix_dedup, variants, warc, word_runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,6 +120,12 @@ def op12_word_runs(spark, sf_dir):
     )
 
 
+@query
+def op13_suffix_dedup(spark, sf_dir):
+    out = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 ORACLES["op2_exact_dedup"] = """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
