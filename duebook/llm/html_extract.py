@@ -2,14 +2,17 @@
 
 A page becomes a tree of elements. What its markup names as no part of the article (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) goes by name. Inside an article a
-class or an id must name such a part as a whole ("search-box", not "search-algorithms"); an id there
-counts for nothing on a block with most of the article's text, nor on any heading. For the rest,
+class or an id must name such a part as a whole ("search-box", not "search-algorithms"), or end in a
+word that means nothing else ("user-comments"); an id, and a name that only begins with such a word,
+count for nothing on a block with most of the article's text, and an id on no heading. For the rest,
 every block element's subtree is hashed, tags, classes and text; Spark counts in how many
 different pages of its host each subtree stands, copies of one page once, and the subtrees that
 recur across many pages of the host are the template and go too; on a large host a fixed count of
 pages is enough. Inside an article a subtree must stand in most of the host's pages to be template,
-so a passage that documents share stays. An article is what <article>, <main> or role=main holds, and
-where these hold less than most of a page's text, the innermost block that does.
+so a passage that documents share stays. An article is what <main>, role=main or <article> holds (the
+outermost of them, so a headline beside an <article> in <main> stays), and where these hold less than
+most of a page's text, the innermost block that does. Of a header inside it the headings and the
+paragraphs stay, of the page's header nothing.
 
 Counting combines on the map side by (host, subtree), so a host of any size is spread over the
 tasks. Templates are shipped to the tasks when there are at most `broadcast_most` of them;
@@ -57,6 +60,11 @@ NAMED = frozenset(
     "share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond login signin search searchbox toolbar pagination "
     "pager widget widgets copyright paywall skip".split()
 )
+#: Those of them that mean nothing else, so that a name need not be all of such words.
+PLAIN = frozenset(
+    "comment comments commentlist disqus cookie cookies consent gdpr newsletter sidebar sidenav advert adverts advertisement advertising adsense sponsored "
+    "navbar breadcrumb breadcrumbs pagination paywall popup".split()
+)
 BESIDE = frozenset("has with without no".split())
 #: Words that may stand beside those of NAMED in a name that as a whole names such a part.
 AROUND = frozenset(
@@ -82,16 +90,17 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    """`noise` goes wherever it stands; `hint` is a word of a name, and `by_id` an id that names a
-    part: both are judged by the place. `size` and `own` are characters below, `own` without what
-    an id names. `article` says that what stands below is inside an article, `most` that the block
-    holds most of the page's text."""
+    """`noise` goes wherever it stands; `hint` is a word of a name, `by_id` an id that names a part
+    and `loose` a class that begins with a plain word: these are judged by the place. `size` and `own` are characters below, `own` without what
+    an id names. `article` says that what stands below is inside an article, `stated` that the
+    markup says so, `most` that the block holds most of the page's text."""
 
-    __slots__ = ("tag", "name", "noise", "hint", "by_id", "kids", "key", "size", "own", "article", "most")
+    __slots__ = ("tag", "name", "noise", "hint", "by_id", "loose", "kids", "key", "size", "own", "article", "stated", "most")
 
-    def __init__(self, tag: str, name: str = "", noise: bool = False, hint: bool = False, by_id: bool = False):
-        self.tag, self.name, self.noise, self.hint, self.by_id, self.kids, self.key, self.size, self.own = tag, name, noise, hint, by_id, [], 0, 0, 0
-        self.article, self.most = tag in ("article", "main"), False
+    def __init__(self, tag: str, name: str = "", noise: bool = False, hint: bool = False, by_id: bool = False, loose: bool = False):
+        self.tag, self.name, self.noise, self.hint, self.by_id, self.loose, self.kids, self.key, self.size, self.own = tag, name, noise, hint, by_id, loose, [], 0, 0, 0
+        self.article = self.stated = tag in ("article", "main")
+        self.most = False
 
 
 def names_noise(value: str) -> bool:
@@ -106,25 +115,33 @@ def names_noise(value: str) -> bool:
     return False
 
 
-def names_part(value: str) -> bool:
-    """Whether a class or an id as a whole names a part that is no article: "search-box", not "search-algorithms"."""
+def names_part(value: str) -> tuple[bool, bool]:
+    """Whether a class or an id names a part that is no article, as a whole ("search-box", not
+    "search-algorithms") or by its last word ("user-comments"); and whether only its first word does."""
+    begins = False
     for name in value.split():
         found = [w.lower() for w in WORD.findall(name)]
+        while len(found) > 1 and (found[-1].isdigit() or found[-1] == "v"):
+            found.pop()
         if any(w in NAMED for w in found) and all(w in NAMED or w in AROUND or w.isdigit() for w in found):
-            return True
-    return False
+            return True, False
+        if found and found[-1] in PLAIN and not BESIDE.intersection(found):
+            return True, False
+        begins = begins or bool(found) and found[0] in PLAIN
+    return False, begins
 
 
 def opened(tag: str, attributes: str) -> Node:
-    noise, name, hint, by_id, main = tag in NOISE, "", False, False, False
+    noise, name, hint, by_id, loose, main = tag in NOISE, "", False, False, False, False
     if attributes and not attributes.isspace():
         for m in ATTRIBUTE.finditer(attributes):
             what, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if what in ("class", "id"):
                 name += f" {value}"
                 if (what == "class" or tag not in HEADINGS) and names_noise(value):
-                    part, hint = names_part(value), True
+                    (part, begins), hint = names_part(value), True
                     by_id = by_id or (part and what == "id")
+                    loose = loose or begins
                     noise = noise or (part and what == "class")
             elif what == "role":
                 noise, main = noise or value.lower() in ROLES, value.lower() == "main"
@@ -132,8 +149,8 @@ def opened(tag: str, attributes: str) -> Node:
                 noise = noise or bool(HIDDEN.search(value))
             elif what == "hidden" or value.lower() == "true":
                 noise = True
-    node = Node(tag, name, *(x and tag not in NEVER for x in (noise, hint, by_id)))
-    node.article = node.article or main
+    node = Node(tag, name, *(x and tag not in NEVER for x in (noise, hint, by_id, loose)))
+    node.article = node.stated = node.article or main
     return node
 
 
@@ -220,7 +237,7 @@ def judge(root: Node) -> None:
         n, within = todo.pop()
         if n.hint:
             if within is not None:
-                n.noise = n.by_id and 2 * n.size <= within.size
+                n.noise = (n.by_id or n.loose) and 2 * n.size <= within.size
             else:
                 n.noise = n.by_id or not n.most
         if not n.noise:
@@ -244,7 +261,7 @@ def marked(root: Node, host: str) -> tuple[list[int], list[int], int]:
     Each node gets its key. The walk keeps its own stack, so depth costs nothing but memory."""
     judge(root)
     outside, inside = [], []
-    salt = host.encode("utf-8", "replace")
+    salt = blake2b(host.encode("utf-8", "replace"), digest_size=32).digest()
     todo = [(root, False, False)]
     while todo:
         node, article, done = todo.pop()
@@ -257,7 +274,7 @@ def marked(root: Node, host: str) -> tuple[list[int], list[int], int]:
             continue
         parts = [" ".join(k.split()) if type(k) is str else "" if k.noise else f"<{k.key:x}>" for k in node.kids]
         text = f"{node.tag}{node.name}\x00{'\x00'.join(p for p in parts if p)}"
-        node.key = int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8, key=salt[:64]).digest(), "little", signed=True)
+        node.key = int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8, key=salt).digest(), "little", signed=True)
         if node.tag and node.tag not in INLINE and node.tag not in NEVER and node.tag not in VOID and any(parts):
             (inside if article or node.article or node.most else outside).append(node.key)
     return outside, inside, root.key
@@ -286,7 +303,7 @@ def main_text(page: str | None, host: str, template=frozenset()) -> str:
         n = todo.pop()
         if n.noise or n.key in template:
             continue
-        if n.tag == "article":
+        if n.stated:
             articles.append(n)  # the outermost ones
         else:
             todo.extend(k for k in reversed(n.kids) if type(k) is Node)
@@ -301,7 +318,7 @@ def main_text(page: str | None, host: str, template=frozenset()) -> str:
             out.append(n)
         elif n.noise or n.key in template:
             out.append(" ")
-        elif n.tag == "header":  # of an article its headings are kept, of a page nothing
+        elif n.tag == "header":  # of an article its headings and paragraphs are kept, of a page nothing
             out.append(" ")
             todo.extend([" ", *(h for h in reversed(headings(n)) if within)])
         elif n.tag in INLINE:
@@ -318,7 +335,7 @@ def headings(node: Node) -> list[Node]:
     while todo:
         n = todo.pop()
         if type(n) is Node and not n.noise:
-            if re.fullmatch("h[1-6]", n.tag):
+            if n.tag in HEADINGS or n.tag == "p":
                 found.append(n)
             else:
                 todo.extend(reversed(n.kids))

@@ -3,13 +3,14 @@
 A document's ids, with the end id behind, are cut into pieces whose lengths are the powers of
 two of its length: as many of `longest` as fit, then one per set bit, longest first. Each piece
 is one whole sequence of its own length, so there is no padding at all, and sequences of equal
-length form the buckets that batches are drawn from. Tokenising happens in one pass without a
-shuffle, and a task holds one Arrow batch.
+length form the buckets that batches are drawn from: their numbers begin with the bucket, and the
+pieces of a batch leave it bucket by bucket. Tokenising happens in one pass without a shuffle, and a
+task holds one Arrow batch.
 
 The ids are those of the tokenizer file, by its own vocabulary and merges read as ranks. That is
 exact where the pre-tokens are certain: texts whose characters all lie below U+0370, whose
-classes no version of Unicode has moved. Other texts, and words of thousands of characters, go
-through the tokenizer itself.
+classes no version of Unicode has moved. Other texts, those with the string of an added token, and
+words of thousands of characters, go through the tokenizer itself.
 
 Cases. Null and empty texts are documents of the end id alone. A repeated row is packed once per
 copy. A null id is carried. An empty table gives an empty result. Result columns are the
@@ -45,11 +46,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         ranks = byte_ranks(path)
         self.ranked = tiktoken.Encoding("ranks", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
-        # characters whose classes are in doubt, or a word too long for merging pair by pair
-        self.hard = re.compile("[^\x00-\u036f]|[^ \n]{2000}").search
+        # characters whose classes are in doubt, a word too long for merging pair by pair, or the
+        # string of an added token, which the library reads as that token
+        added = "".join(f"|{re.escape(t)}" for t in added_tokens(path))
+        self.hard = re.compile(f"[^\x00-\u036f]|[^ \n]{{2000}}{added}").search
 
     def __call__(self, text: str) -> bytes:
         if self.hard(text):
@@ -70,6 +72,11 @@ def byte_ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in t): i for t, i in table.items() if all(c in byte_of for c in t)}
 
 
+def added_tokens(path: str) -> list[str]:
+    with open(path, encoding="utf-8") as f:
+        return [t["content"] for t in json.load(f).get("added_tokens") or []]
+
+
 def encoder(path: str) -> Encoder:
     """One per worker process and file."""
     if path not in _encoders:
@@ -104,10 +111,9 @@ def pieces_of(path: str, end_id: int, longest: int):
                     sizes.append(size)
                     totals.append(n)
                     blobs.append(blob[4 * start : 4 * (start + size)])
-            yield pa.RecordBatch.from_arrays(
-                [ids_in.take(pa.array(source, pa.int32())), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64()), pa.array(blobs, pa.binary())],
-                names=["doc_id", "start", "length", "doc_tokens", "ids"],
-            )
+            columns = [ids_in.take(pa.array(source, pa.int32())), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64()), pa.array(blobs, pa.binary())]
+            bucketed = pa.array(np.argsort(np.asarray(sizes, np.int64), kind="stable"))
+            yield pa.RecordBatch.from_arrays([c.take(bucketed) for c in columns], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
     return run
 
@@ -115,12 +121,20 @@ def pieces_of(path: str, end_id: int, longest: int):
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, longest: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per sequence: doc_id, start, length, doc_tokens, ids, sequence_id, offset.
 
-    `ids` are little-endian unsigned 32-bit. `length` is the bucket: write with
-    partitionBy("length") to store equal lengths together. sequence_id is distinct per row."""
+    `ids` are little-endian unsigned 32-bit. `length` is the bucket. sequence_id is distinct per row
+    and ascends by bucket: its exponent stands above 59 bits that tell the rows of a bucket apart."""
     if longest & (longest - 1):
         raise ValueError("longest must be a power of two")
+    if longest > 1 << 15:
+        raise ValueError("a sequence number holds exponents up to 15")
     common.ready(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out = narrow.mapInArrow(pieces_of(tokenizer_path, end_id, longest), SCHEMA.format(id=kind))
-    return out.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    bucket = F.shiftleft(F.log2("length").cast("long"), 59)
+    return out.withColumn("sequence_id", bucket + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+
+
+def write(sequences: DataFrame, path: str) -> None:
+    """Store sequences with those of equal length together, in a folder of each length."""
+    sequences.write.partitionBy("length").parquet(path)

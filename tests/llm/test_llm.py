@@ -145,19 +145,25 @@ def test_components_of_a_path(spark):
 # packing and the codec
 
 
-def test_packing_restores_every_document(spark):
+def test_packing_restores_every_document(spark, tmp_path):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
-    texts = [(1, None), (2, ""), (3, "one two" * 900), (4, "naïve <|endoftext|> 漢字 x"), (4, "naïve <|endoftext|> 漢字 x"), (5, "a" * 3000)]
+    texts = [(1, None), (2, ""), (3, "one two " * 1900), (4, "naïve <|endoftext|> 漢字 x"), (4, "naïve <|endoftext|> 漢字 x"), (5, "a" * 3000), (6, "hello <|endoftext|> world")]
     rows = packing.pack(odd(spark, texts), tokenizer("byte_bpe_50k.json")).collect()
     assert len({r.sequence_id for r in rows}) == len(rows) and all(r.length & (r.length - 1) == 0 and r.length <= 2048 and r.offset == 0 for r in rows)
-    t.encode_special_tokens = True
     for i, text in texts:
         want = [*t.encode(text or "", add_special_tokens=False).ids, 1]
         own = sorted({(r.start, bytes(r.ids)) for r in rows if r.doc_id == i})
         assert np.frombuffer(b"".join(b for _, b in own), "<u4").tolist() == want
         assert {r.doc_tokens for r in rows if r.doc_id == i} == {len(want)}
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in rows if r.doc_id == 6 and r.start == 0] == [[31373, 220, 50256, 995]]
+    # sequences of one length have numbers of their own, one after the other
+    by_number = [r.length for r in sorted(rows, key=lambda r: r.sequence_id)]
+    assert by_number == sorted(by_number) and {r.sequence_id >> 59 for r in rows if r.length == 2048} == {11}
+    path = str(tmp_path / "packed")
+    packing.write(packing.pack(odd(spark, texts), tokenizer("byte_bpe_50k.json")), path)
+    assert spark.read.parquet(f"{path}/length=2048").count() == by_number.count(2048)
     assert packing.pack(odd(spark, []), tokenizer("byte_bpe_50k.json")).count() == 0
 
 
@@ -341,6 +347,59 @@ def test_main_text_of_a_page():
     assert html_extract.main_text("<div class='page with-sidebar'><p>kept<div class='sidebar'>no</div><div class='no-ads adBox'>no</div></div>", "h") == "kept"
 
 
+def test_what_stands_beside_an_article_in_main_stays():
+    page = "<header><h1>Site</h1><p>slogan</header><main><h1>Title</h1><p>Standfirst</p><article><header><h2>Own</h2><p>Lead</p><ul><li>no</ul><time>no</time></header><p>Body of it</p></article><p>After</p></main><div>no</div>"
+    assert html_extract.main_text(page, "h") == "Title Standfirst Own Lead Body of it After"
+    assert html_extract.main_text("<div role=main><h1>T</h1><article>" + "long text " * 9 + "</article></div><p>out", "h") == "T " + ("long text " * 9).strip()
+    for name in ("user-comments", "fb-comments", "comment-thread-v2", "newsletter-optin", "readerComments", "disqus_thread", "gdpr-bar-3"):
+        for kind in ("class", "id"):
+            assert html_extract.main_text(f"<article><p>The text of the article is the longer part</p><div {kind}='{name}'><p>no no</p></div></article>", "h") == "The text of the article is the longer part", name
+    for name in ("comments-enabled post", "has-comments", "no-sidebar", "comment-policy"):
+        assert html_extract.main_text(f"<article><div class='{name}'><p>The text of the article</p></div><p>end</p></article>", "h") == "The text of the article end", name
+
+
+def test_hosts_that_begin_alike_have_templates_of_their_own():
+    far = ["x" * 80 + end for end in "ab"]
+    keys = [set(html_extract.marked(html_extract.parse("<div><p>Same</p></div>"), h)[0]) for h in far]
+    assert not keys[0] & keys[1]
+
+
+def brute_extract(rows):
+    """Templates counted in plain dictionaries, then the text of each page without its host's."""
+    counts, totals, where = {}, {}, {}
+    contents = set()
+    for _, url, page in rows:
+        host = ("" if "://" not in (url or "") else url.split("://")[1]).split("/")[0].split("?")[0].split("#")[0].split("@")[-1].split(":")[0].lower()
+        outside, inside, whole = html_extract.marked(html_extract.parse(page or ""), host)
+        where[url, page] = host
+        if (host, whole) in contents:
+            continue
+        contents.add((host, whole))
+        totals[host] = totals.get(host, 0) + 1
+        for key in {*outside, *inside}:
+            n, i = counts.get((host, key), (0, False))
+            counts[host, key] = (n + 1, i or key in inside)
+    gone: dict = {}
+    for (host, key), (n, inside) in counts.items():
+        least, share = html_extract.INSIDE if inside else html_extract.OUTSIDE
+        if (n >= least and n >= share * totals[host]) or (not inside and n >= html_extract.ENOUGH):
+            gone.setdefault(host, set()).add(key)
+    return sorted(((i, html_extract.main_text(page, where[url, page], gone.get(where[url, page], set()))) for i, url, page in rows), key=str)
+
+
+def test_extraction_equals_brute_force(spark):
+    r = random.Random(6)
+    rows = [(d.page_id, d.url, d.html) for d in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    blocks = [f"<div class=x{k}><p>Block {k} of the site</p></div>" for k in range(12)]
+    for i in range(150):
+        own = f"<p>Own text {i} " + "and more of it " * r.randrange(1, 9) + "</p>" + "".join(f"<p>{r.randrange(8)} shared</p>" for _ in range(2))
+        wrap = r.choice(["<article>%s</article>", "<main>%s</main>", "<div class=post>%s</div>", "%s"])
+        rows.append((10_000 + i, f"https://u@Host{r.randrange(4)}.example:80/{i}?q#f", "".join(r.sample(blocks, 3)) + wrap % own + r.choice(blocks)))
+    rows += [rows[-1], (None, None, None), (5, "no address", "<p>alone")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted(((x.page_id, x.text) for x in html_extract.extract(pages).collect()), key=str) == brute_extract(rows)
+
+
 def test_names_inside_an_article_must_name_a_part_as_a_whole():
     page = (
         "<div class='social-x'>no</div><article><h2 id='social-policy'>A</h2><h2 id=comments>B</h2><section id='search-algorithms'>c</section><div id='related-work'>d</div><span class='share-price'>e</span>"
