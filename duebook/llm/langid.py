@@ -5,11 +5,13 @@ scored after the three before it. A model is a set of sorted hash arrays, one pe
 hash of an n-gram finds its interpolated log probability in each language and, as a context, the
 weight it leaves to the next lower order. The language of the lowest cross-entropy per character
 wins. A text is rejected when it has no letter, or when that cross-entropy lies above a limit
-calibrated on learning texts that the counts have not seen.
+calibrated on learning texts that the counts have not seen: the largest of theirs, and `margin`
+nats beyond it, or half the way to what other languages' texts have at least where that is more.
 
-Learning takes at most `per_lang` different texts of each language (those of the smallest hashes)
-and the first `chars` characters of each: both bounds are parameters and what the driver holds.
-Every text is scored whole, in one pass without a shuffle.
+Learning takes at most `per_lang` different texts of each language (those of the smallest hashes),
+whole. Their n-grams are counted as Spark aggregates per language and n-gram; the driver gets the
+counts, never the texts, and one number a calibrating text and language. Languages are the labels'
+few names. Every text is scored whole, in one pass without a shuffle.
 
 Cases. Null, empty and letterless texts are `und`, score 0, rejected. A null label teaches
 nothing. Ties go to the language that sorts first. Repeated rows are scored once per copy. An
@@ -30,6 +32,10 @@ from pyspark.sql import types as T
 from duebook.llm import common
 
 ORDER = 4
+#: What stands before a text, so that no character has another text's in its context: marks, and a
+#: blank as before any word. Marks of texts that are scored are never those that were learned, so that
+#: the first characters are scored after the blank alone.
+LEAD = ORDER - 1
 PRED = [("lang_pred", "string"), ("score", "double"), ("cross_entropy", "double"), ("accepted", "boolean")]
 
 _letters: list[np.ndarray] = []
@@ -42,18 +48,20 @@ def letters() -> np.ndarray:
     return _letters[0]
 
 
-def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all texts, each behind one blank, and where each text starts."""
+def characters(texts: list[str], mark: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all texts, each behind two marks and a blank, and where those of each text start."""
     low = [t.lower() for t in texts]
-    raw = np.frombuffer((" " + " ".join(low) + " ").encode("utf-32-le", "replace"), "<u4")
+    lead = " " * LEAD
+    raw = np.frombuffer((lead + "".join(t + lead for t in low)).encode("utf-32-le", "replace"), "<u4")
     letter = letters()[np.minimum(raw, 0xFFFF)] | (raw > 0xFFFF)
-    starts = np.cumsum([0] + [len(t) + 1 for t in low])  # of the blank before each text
+    starts = np.cumsum([0] + [len(t) + LEAD for t in low])
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # a blank stays behind a letter, runs of others do not
-    keep[starts] = True
+    keep[(starts[:, None] + np.arange(LEAD)).reshape(-1)] = True
     codes = np.where(letter, raw & 0xFFFF, 32)[keep].astype(np.uint64)
-    place = np.cumsum(keep) - 1
-    return codes, place[starts]
+    starts = (np.cumsum(keep) - 1)[starts]
+    codes[(starts[:, None] + np.arange(LEAD - 1)).reshape(-1)] = mark
+    return codes, starts
 
 
 def grams(codes: np.ndarray) -> np.ndarray:
@@ -100,7 +108,7 @@ class Model:
         codes, starts = characters(texts)
         g = grams(codes)
         total = np.zeros((len(texts), len(self.languages)))
-        starts, ends = starts[:-1] + 1, starts[1:]  # the blank before a text is context only
+        starts, ends = starts[:-1] + LEAD, starts[1:]  # what stands before a text is context only
         step = 1 << 18
         n = ends - starts
         for a in range(0, len(codes), step):  # a bounded part of the batch at a time
@@ -125,31 +133,43 @@ class Model:
         return langs, np.where(has, score, 0.0), np.where(has, own, 0.0), has & (own <= self.limits[best])
 
 
-def counted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct n-grams of each order with their counts: of the highest as they occur, of lower
-    ones the number of different characters before them."""
-    codes, starts = characters(texts)
+def highest(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of the highest order with their counts."""
+    codes, starts = characters(texts, 0)
     keep = np.ones(len(codes), bool)
-    keep[starts] = False
-    orders = [np.unique(grams(codes)[keep], return_counts=True)]
+    keep[(starts[:, None] + np.arange(LEAD)).reshape(-1)] = False
+    return np.unique(grams(codes)[keep], return_counts=True)
+
+
+def orders(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """n-grams of each order with their counts: of the highest as they occur, of lower ones the
+    number of different characters before them."""
+    out = [(keys, counts)]
     for n in range(ORDER - 1, 0, -1):
-        orders.append(np.unique(lower(orders[-1][0], n), return_counts=True))
-    return orders[::-1]
+        out.append(np.unique(lower(out[-1][0], n), return_counts=True))
+    return out[::-1]
 
 
-def fit(samples: dict[str, list[str]], margin: float = 1.0) -> Model:
-    """Models of the languages; every fifth text only calibrates the limit of rejection."""
-    languages = sorted(samples)
-    if not languages:
-        return Model([], {}, np.zeros(0, np.float32), np.zeros(0))
-    learn = {k: [t for i, t in enumerate(v) if i % 5 or len(v) < 5] for k, v in samples.items()}
-    each = [counted(learn[k]) for k in languages]
+def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, gram, n of a batch of texts."""
+    for b in batches:
+        langs, texts = b.column("lang").to_pylist(), common.strings(b, "text")
+        for lang in sorted(set(langs)):
+            keys, n = highest([t for k, t in zip(langs, texts) if k == lang])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
+
+
+def modelled(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
+    """Models from each language's n-grams of the highest order and their counts; no limits yet."""
+    languages = sorted(counts)
+    each = [orders(*counts[k]) for k in languages]
     alphabet = len(np.unique(np.concatenate([o[0][0] for o in each]))) + 1
     floor = np.full(len(languages), -np.log(alphabet), np.float32)
     tables: dict = {}
     model = Model(languages, tables, floor, np.full(len(languages), np.inf))
     for n in range(1, ORDER + 1):
-        union = np.unique(np.concatenate([o[n - 1][0] for o in each]))
+        # contexts of the next order too: what stands before a text is no n-gram that is counted
+        union = np.unique(np.concatenate([o[n - 1][0] for o in each] + [o[n][0] >> np.uint64(16) for o in each if n < ORDER]))
         logp = np.zeros((len(union), len(languages)), np.float32)
         bow_of_context = np.zeros((len(tables[n - 1][0]) if n > 1 else 1, len(languages)), np.float32)
         below = model.logp(n - 1, lower(union, n - 1))
@@ -177,28 +197,74 @@ def fit(samples: dict[str, list[str]], margin: float = 1.0) -> Model:
         else:
             tables[n - 1] = (tables[n - 1][0], tables[n - 1][1], bow_of_context)
         tables[n] = (union, logp, np.zeros_like(logp))
-    for k, lang in enumerate(languages):
-        held = [t for i, t in enumerate(samples[lang]) if i % 5 == 0] or samples[lang]
-        ce, n = model.entropies(held)
-        if (n > 0).any():
-            model.limits[k] = ce[n > 0, k].max() + margin
     return model
 
 
-def learned(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 500, chars: int = 3000) -> Model:
+def calibrated(model: Model, own: dict[str, float], others: dict[str, float], margin: float = 1.0) -> Model:
+    """Limits of rejection: the largest cross-entropy of a language's texts, and `margin` nats, or
+    half the way from there to the least of other languages' texts in it where that is more."""
+    for k, lang in enumerate(model.languages):
+        if lang in own:
+            model.limits[k] = own[lang] + max(margin, (others.get(lang, own[lang]) - own[lang]) / 2)
+    return model
+
+
+def fit(samples: dict[str, list[str]], margin: float = 1.0) -> Model:
+    """Models of the languages from texts in memory; every fifth only calibrates the limits."""
+    samples = {k: v for k, v in samples.items() if characters(v)[0].size > LEAD * (len(v) + 1)}
+    if not samples:
+        return Model([], {}, np.zeros(0, np.float32), np.zeros(0))
+    learn = {k: [t for i, t in enumerate(v) if i % 5 or len(v) < 5] for k, v in samples.items()}
+    model = modelled({k: highest(v) for k, v in learn.items()})
+    own, others = {}, {}
+    for lang, v in samples.items():
+        ce, n = model.entropies([t for i, t in enumerate(v) if i % 5 == 0])
+        for k, name in enumerate(model.languages):
+            for x in ce[n > 0, k].tolist():
+                to, better = (own, max) if name == lang else (others, min)
+                to[name] = better(to.get(name, x), x)
+    return calibrated(model, own, others, margin)
+
+
+def entropies_of(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for b in batches:
+            ce, n = model.entropies(common.strings(b, "text"))
+            at = np.flatnonzero(n > 0)
+            langs = np.asarray(b.column("lang").to_pylist(), object)[at]
+            for k, name in enumerate(model.languages):
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(langs == name), pa.array(ce[at, k])], names=["model", "own", "ce"])
+
+    return run
+
+
+def learned(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = 500) -> Model:
     """A model from labelled rows, at most `per_lang` different texts of a language.
 
     Only some 4 * per_lang texts of a language are shuffled to be chosen from, whatever the table holds."""
+    spark = common.ready(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col)).alias("h"), F.substring(F.col(text_col), 1, chars).alias("text")
+        F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text")
     )
-    first = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 1), "text")
-    rows = common.thinned(rows, "lang", "h", per_lang).dropDuplicates(["lang", "h"])
-    taken = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("lang", "n", "text").collect()
-    samples: dict = {}
-    for r in sorted(taken, key=lambda r: (r["lang"], r["n"])):
-        samples.setdefault(r["lang"], []).append(r["text"])
-    return fit(samples)
+    first = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 1), "h")
+    some = common.thinned(rows, "lang", "h", per_lang).dropDuplicates(["lang", "h"])
+    some = some.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).withColumn("most", F.max("n").over(Window.partitionBy("lang")))
+    # every fifth text calibrates, of a language with fewer than five also learns
+    taken = common.settle(some.select("lang", "text", ((F.col("n") % 5 != 1) | (F.col("most") < 5)).alias("learns"), (F.col("n") % 5 == 1).alias("calibrates")), "learning")
+    counts = taken.where("learns").select("lang", "text").mapInArrow(counting, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    if not counts.num_rows:
+        return Model([], {}, np.zeros(0, np.float32), np.zeros(0))
+    langs, grams_of, n = counts["lang"].combine_chunks().dictionary_encode(), np.asarray(counts["gram"]).view(np.uint64), np.asarray(counts["n"])
+    by: dict = {}
+    for k, lang in enumerate(langs.dictionary.to_pylist()):
+        at = np.flatnonzero(np.asarray(langs.indices) == k)
+        at = at[np.argsort(grams_of[at])]
+        by[lang] = (grams_of[at], n[at])
+    model = modelled(by)
+    ce = taken.where("calibrates").select("lang", "text").mapInArrow(entropies_of(spark.sparkContext.broadcast(model)), "model string, own boolean, ce double")
+    ends = ce.groupBy("model", "own").agg(F.max("ce").alias("most"), F.min("ce").alias("least")).collect()
+    return calibrated(model, {r["model"]: r["most"] for r in ends if r["own"]}, {r["model"]: r["least"] for r in ends if not r["own"]})
 
 
 def scored(shared, text_col: str):

@@ -3,8 +3,9 @@
 Bytes become small vectors, learned filters of sixteen bytes run over the whole text in steps of
 eight, so that chunks overlap, and each filter keeps its largest answer and its mean over the text.
 A logistic layer makes one probability of them. Learning is gradient descent in numpy on at most
-`per_class` texts of each label (those with the smallest hashes; at most `most_bytes` of each),
-which the driver holds; scoring reads every byte of every text in one pass without a shuffle.
+`per_class` texts of each label (those with the smallest hashes), which the driver holds: whole up to
+`most_bytes`, longer ones as blocks from all over the text, one of each of as many equal stretches,
+where its hash says. Scoring reads every byte of every text in one pass without a shuffle.
 
 Cases. Null and empty texts are scored as one chunk of padding. A null label teaches nothing.
 Without labels of both kinds every score is the share of label 1, or 0.5. Repeated rows are
@@ -14,6 +15,7 @@ like the result is replaced.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,6 +132,28 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None, round
     return net
 
 
+def spread(raw: bytes, most: int, block: int = 256) -> bytes:
+    """A text of `most` bytes at most: itself, or a block of each of most / block equal stretches of
+    it, from the place that a hash of the text gives, so that no part of a text is favoured."""
+    if len(raw) <= most:
+        return raw
+    n = max(1, most // block)
+    edges = np.linspace(0, len(raw), n + 1).astype(np.int64)
+    room = np.maximum(np.diff(edges) - block, 0)
+    seed = zlib.crc32(raw)
+    at = edges[:-1] + (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed) >> np.uint64(33)).astype(np.int64) % (room + 1)
+    return b"".join(raw[a : a + block] for a in at.tolist())
+
+
+def spreading(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = [spread(t.encode("utf-8", "replace"), most) for t in common.strings(b, "text")]
+            yield common.with_columns(b, [("raw", pa.binary(), raw)], drop=("text",))
+
+    return run
+
+
 def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 1500, most_bytes: int = 16_384, **settings) -> Network:
     """A network from at most `per_class` labelled documents of each label."""
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
@@ -139,7 +163,9 @@ def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     # chosen before the texts are touched: a list bounded by the parameters meets the documents
     chosen = few.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_class).select("doc_id", "y")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    bounded = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", F.substring(F.encode("text", "UTF-8"), 1, most_bytes).alias("raw"))
+    common.ready(docs.sparkSession)
+    kind = docs.schema[id_col].dataType.simpleString()
+    bounded = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text").mapInArrow(spreading(most_bytes), f"doc_id {kind}, y int, raw binary")
     rows = bounded.orderBy(F.xxhash64("doc_id"), "doc_id", "y", "raw").limit(2 * per_class).collect()
     share = total.get(1, 0) / sum(total.values()) if total else None
     return fit([bytes(r["raw"]) for r in rows], [r["y"] for r in rows], share, **settings)

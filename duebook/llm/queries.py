@@ -58,7 +58,7 @@ def op4_quality(spark, sf_dir):
 @query
 def op5_secrets(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_live", "n_copied")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_live", "n_copied", "owners", "repos")
 
 
 @query
@@ -177,15 +177,17 @@ def secrets_sql() -> str:
     return f"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 s AS ({" UNION ALL ".join(parts)}),
-o AS (SELECT value, count(DISTINCT source) AS owners FROM s JOIN t USING (doc_id) GROUP BY value),
+o AS (SELECT value, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repos FROM s JOIN t USING (doc_id) GROUP BY value),
 a AS (
   SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (k < 3) AS base,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans,
-         count(*) FILTER (owners < 3) AS n_live, count(*) FILTER (owners >= 3) AS n_copied
+         count(*) FILTER (owners < 3 AND repos < 100) AS n_live, count(*) FILTER (owners >= 3 OR repos >= 100) AS n_copied,
+         max(owners) AS owners, max(repos) AS repos
   FROM s JOIN o USING (value) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied,
+       coalesce(owners, 0) AS owners, coalesce(repos, 0) AS repos
 FROM t LEFT JOIN a USING (doc_id)
 """
 

@@ -2,9 +2,10 @@
 
 Candidates are found by pattern and set against the whole corpus. Each candidate's value is
 hashed; the hashes are counted by distinct repositories and distinct owners with partial
-aggregation, and a value that many owners carry is an example that was copied about, while a
-value of one owner looks live. The count never gathers a group: a value that a third of the
-table carries is one partial row per task.
+aggregation. A value that many owners carry, or very many repositories of a few, is an example that
+was copied about; a value that one owner keeps in some repositories looks live. The count never
+gathers a group: a value that a third of the table carries is one partial row per task, and the
+counts of the few values that many spans carry go back by broadcast.
 
 A private key is the block from its BEGIN line to its END line, or without one to the end of its
 base64 lines, and its value is the base64 of the body, however that is wrapped, quoted or escaped. A
@@ -113,10 +114,14 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner
     return common.settle(rows, "candidates")
 
 
-def spans(rows: DataFrame, copied_owners: int = 3) -> DataFrame:
+#: A value of so many spans meets its counts by broadcast: there are at most all spans / HOT of them.
+HOT = 10_000
+
+
+def spans(rows: DataFrame, copied_owners: int = 3, copied_repos: int = 100) -> DataFrame:
     """One row per secret among `candidates`: row, doc_id, key, kind, start, end, value_hash, owners, repos, live.
 
-    `live` is false for a value that at least `copied_owners` owners carry."""
+    `live` is false for a value that at least `copied_owners` owners or `copied_repos` repositories carry."""
     each = rows.select("row", "doc_id", "key", "repo", "owner", F.explode("kinds").alias("k"))
     each = each.select("row", "doc_id", "key", "repo", "owner", F.col("k.kind").alias("kind"), F.posexplode("k.m").alias("place", "m"))
     so_far = Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -129,8 +134,15 @@ def spans(rows: DataFrame, copied_owners: int = 3) -> DataFrame:
     # distinct owners and repositories as counts of distinct pairs: each step combines on the map side
     owners = each.select("value_hash", "owner").distinct().groupBy("value_hash").agg(F.count("*").alias("owners"))
     repos = each.select("value_hash", "repo").distinct().groupBy("value_hash").agg(F.count("*").alias("repos"))
-    known = common.settle(owners.join(repos, "value_hash"), "ownership")
-    return each.join(known, "value_hash").withColumn("live", F.col("owners") < copied_owners)
+    uses = each.groupBy("value_hash").agg(F.count("*").alias("uses"))
+    known = common.settle(owners.join(repos, "value_hash").join(uses, "value_hash"), "ownership")
+    hot = known.where(F.col("uses") > HOT)
+    copied = (F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repos)
+    if hot.isEmpty():
+        return each.join(known, "value_hash").drop("uses").withColumn("live", ~copied)
+    met = each.join(F.broadcast(hot), "value_hash", "left")
+    rest = met.where(F.col("uses").isNull()).select(each.columns).join(known.where(F.col("uses") <= HOT), "value_hash")
+    return met.where(F.col("uses").isNotNull()).unionByName(rest).drop("uses").withColumn("live", ~copied)
 
 
 def listed(only: Column | None = None) -> Column:
@@ -140,29 +152,32 @@ def listed(only: Column | None = None) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(one if only is None else F.when(only, one))), lambda x: x["s"]), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", copied_owners: int = 3) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_assign .. n_vendor, n_live, n_copied, base_spans, spans."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", copied_owners: int = 3, copied_repos: int = 100) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_assign .. n_vendor, n_live, n_copied, base_spans, spans, and
+    the most owners and repositories that any of its values has."""
     common.ready(docs.sparkSession)
     rows = candidates(docs, id_col, text_col, repo_col, owner_col)
     # a text's spans are no more than its characters: the list of one row is bounded by its text
-    per = spans(rows, copied_owners).groupBy("row").agg(
+    per = spans(rows, copied_owners, copied_repos).groupBy("row").agg(
         *[F.count(F.when(F.col("kind") == i, 1)).alias(f"n_{k}") for i, k in enumerate(ORDER)],
         F.count(F.when(F.col("live"), 1)).alias("n_live"),
         F.count(F.when(~F.col("live"), 1)).alias("n_copied"),
         listed(F.col("kind") < 3).alias("base_spans"),
         listed().alias("spans"),
+        F.max("owners").alias("owners"),
+        F.max("repos").alias("repos"),
     )
-    counts = [f"n_{k}" for k in ORDER] + ["n_live", "n_copied"]
+    counts = [f"n_{k}" for k in ORDER] + ["n_live", "n_copied", "owners", "repos"]
     return rows.select("row", "doc_id").join(per, "row", "left").select(
         "doc_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts], *[F.coalesce(c, F.lit("")).alias(c) for c in ("base_spans", "spans")]
     )
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", copied_owners: int = 3, mask: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", copied_owners: int = 3, copied_repos: int = 100, mask: str = "[SECRET]") -> DataFrame:
     """`docs` with every live span replaced by `mask`; copied examples stay. No row is dropped."""
     common.ready(docs.sparkSession)
     rows = candidates(docs, id_col, text_col, repo_col, owner_col)
-    live = spans(rows, copied_owners).where("live").select("key", "start", "end").distinct()
+    live = spans(rows, copied_owners, copied_repos).where("live").select("key", "start", "end").distinct()
     before = Window.partitionBy("key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.coalesce(F.max("end").over(before), F.lit(0))
     # what stands before each span and behind all spans before it; None where a span goes on from the last

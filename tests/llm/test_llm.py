@@ -214,6 +214,75 @@ def test_learning_texts_are_bounded_and_blind_to_copies(spark):
     assert common.thinned(docs.limit(0), "lang", "h", 50).count() == 0
 
 
+def brute_logp(learn, order=4):
+    """Interpolated Kneser-Ney over dictionaries of strings: (language, context, character) to probability."""
+    def plain(t):
+        return " " + "".join(c if c.isalpha() else " " for c in t.lower())
+
+    counts = {}
+    for lang, texts in learn.items():
+        top: dict = {}
+        for t in texts:
+            s = " ".join(plain(t).split(" "))
+            s = " " + "".join(c for k, c in enumerate(s[1:]) if c != " " or (k and s[k] != " "))
+            for k in range(1, len(s)):
+                g = s[max(0, k - order + 1) : k + 1].rjust(order, "\0")
+                top[g] = top.get(g, 0) + 1
+        each = [top]
+        for n in range(order - 1, 0, -1):
+            low: dict = {}
+            for g in each[0]:
+                low[g[-n:]] = low.get(g[-n:], 0) + 1
+            each.insert(0, low)
+        counts[lang] = each
+    alphabet = len({g for each in counts.values() for g in each[0]}) + 1
+
+    def p(lang, context, c, n=order):
+        if n == 0:
+            return 1 / alphabet
+        table = counts[lang][n - 1]
+        once, twice = (sum(v == k for v in table.values()) for k in (1, 2))
+        d = once / (once + 2 * twice) if once and twice else 0.5
+        own = context[len(context) - n + 1 :]
+        behind = [v for g, v in table.items() if g[:-1] == own]
+        if not behind:
+            return p(lang, context, c, n - 1)
+        seen = table.get(own + c, 0)
+        return (max(seen - d, 0) + d * len(behind) * p(lang, context, c, n - 1)) / sum(behind)
+
+    return p
+
+
+def test_cross_entropy_equals_the_formula():
+    learn = {"a": ["The cat sat on the mat.", "A cat, a hat", "that is  that"], "b": ["der hund lag im bett", "Das Bett ist da", "da da da"]}
+    p = brute_logp(learn)
+    m = langid.modelled({k: langid.highest(v) for k, v in learn.items()})
+    for text in ("the hat", "im bett lag der hund", "xyz the"):
+        ce, n = m.entropies([text])
+        s = " " + text
+        for k, lang in enumerate("ab"):
+            want = -sum(np.log(p(lang, s[max(0, i - 3) : i].rjust(3, "\1"), s[i])) for i in range(1, len(s))) / len(text)
+            assert n[0] == len(text) and ce[0, k] == pytest.approx(want, rel=1e-4)
+
+
+def test_counts_made_by_spark_give_the_model_of_texts_in_memory(spark):
+    rows = [(i, f"{'the cat' if i % 2 else 'der hund'} {words(i, 6, 30)} " + "long " * (i * 40), "en" if i % 2 else "de") for i in range(60)]
+    rows += [*rows[:9], (99, None, "en"), (98, "text", None), (97, "", "en"), (96, "ole", "es")]
+    docs = spark.createDataFrame([(*r, 0.5, "x", False) for r in rows], "doc_id long, text string, lang string, score double, lang_pred string, accepted boolean")
+    m = langid.learned(docs)
+    assert m.languages == ["de", "en", "es"]
+    out = langid.identify(docs, m)
+    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "score", "cross_entropy", "accepted"] and out.count() == len(rows)
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[99].lang_pred == got[97].lang_pred == "und" and not got[99].accepted and all(got[i].lang_pred == got[i].lang and got[i].accepted for i in range(60))
+    assert langid.identify(docs.limit(0), m).count() == 0
+    nothing = langid.learned(docs.limit(0))
+    assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
+    # the end of a long text teaches as its beginning does
+    late = spark.createDataFrame([(1, "aaa " * 3000 + "zzz zzz", "l"), (2, "bbb ccc", "m")], "doc_id long, text string, lang string")
+    assert langid.identify(spark.createDataFrame([("zzz",)], "text string"), langid.learned(late)).first().lang_pred == "l"
+
+
 def test_language_odd_rows():
     m = langid.fit({"a": ["the cat sat on the mat"] * 6, "b": ["der hund lag auf dem bett"] * 6})
     langs, score, _, accepted = m.predict(["", "12 !", "the cat", "hund", "漢字漢字漢字漢字漢字"])
@@ -240,6 +309,43 @@ def test_quality_odd_rows():
     assert quality.fit([], []).score([b"x"])[0] == 0.5
 
 
+def plain_score(net, text):
+    """The network's answer by loops over chunks and filters."""
+    blocks = max(2, -(-len(text) // quality.STEP))
+    codes = [*text] + [256] * (blocks * quality.STEP - len(text))
+    answers = []
+    for b in range(blocks - 1):
+        chunk = codes[b * quality.STEP : (b + 2) * quality.STEP]
+        x = np.concatenate([net.bytes[c] for c in chunk]).astype(np.float64)
+        both = np.concatenate([net.first, net.second])
+        answers.append([max(0.0, float(x @ both[:, f]) + float(net.bias[f])) for f in range(quality.FILTERS)])
+    most = [max(a[f] for a in answers) for f in range(quality.FILTERS)]
+    mean = [sum(a[f] for a in answers) / len(answers) for f in range(quality.FILTERS)]
+    return 1 / (1 + np.exp(-(float(np.dot(most + mean, net.out)) + float(net.shift[0]))))
+
+
+def test_scores_equal_a_plain_convolution(spark):
+    net = quality.fit([b"good words here and there"] * 20 + [b"#### $$$$ %%%% lorem"] * 20, [1] * 20 + [0] * 20, rounds=6)
+    texts = [None, "", "a", "12345678", "123456789", "é" * 30, words(3, 500), "good words #### " * 40, "good words #### " * 40]
+    docs = spark.createDataFrame([(i, t, 9.0, "held") for i, t in enumerate(texts)], "doc_id long, text string, score double, raw string")
+    got = {r.doc_id: r.score for r in quality.score(docs, net).collect()}
+    assert got == pytest.approx({i: plain_score(net, (t or "").encode()) for i, t in enumerate(texts)}, abs=1e-5)
+    assert quality.score(docs.limit(0), net).count() == 0
+
+
+def test_long_texts_teach_from_all_over(spark):
+    raw = bytes(range(256)) * 4000
+    part = quality.spread(raw, 16_384)
+    assert len(part) == 16_384 and quality.spread(raw[:100], 16_384) == raw[:100]
+    places = [raw.find(part[k : k + 256][:64]) for k in range(0, len(part), 256)]
+    assert len(places) == 64
+    late = [("x" * 60_000 + ("good words " if i % 2 else "$$$$ %%%% ") * 8000, i % 2) for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "q") for i, (t, _) in enumerate(late)] + [(0, late[0][0], "q"), (77, None, "q")], "doc_id long, text string, quality string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(late)] + [(0, 0), (5, None), (77, 1)], "doc_id long, quality int")
+    net = quality.learned(docs, labels, rounds=6)
+    assert net.score([b"good words " * 40])[0] > net.score([b"$$$$ %%%% " * 40])[0] + 0.3
+
+
 # secrets
 
 
@@ -273,6 +379,35 @@ def test_secrets_match_the_pattern_engine(spark):
         assert row.spans == ",".join(s for _, _, s in sorted(want))
 
 
+def test_values_of_many_repositories_are_examples(spark):
+    """One value in a third of the rows, all of one owner, with its counts sent by join and by broadcast."""
+    rows = [(i, f"token = '{'EXAMPLE0' if i % 3 else f'Own{i:05d}x'}'", "s0") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {i: ((0, 1, 1, 200) if i % 3 else (1, 0, 1, 1)) for i, _, _ in rows}
+    for hot in (10_000, 50):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(secrets, "HOT", hot)
+            assert {r.doc_id: (r.n_live, r.n_copied, r.owners, r.repos) for r in secrets.scan(docs).collect()} == want
+    masked = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert masked[1] == rows[1][1] and masked[3] == "[SECRET]'"
+    clash = docs.select("doc_id", "text", "source", *[F.lit(0).alias(c) for c in ("row", "key", "kinds", "owners", "repos")])
+    assert secrets.scan(clash).count() == 300 and secrets.redact(clash).columns == clash.columns and secrets.redact(clash.limit(0)).count() == 0
+
+
+def test_private_keys_match_the_pattern_engine(spark):
+    import re
+
+    r = random.Random(18)
+    head, foot = ("-----%s RSA PRIVATE KEY-----" % side for side in ("BEGIN", "END"))
+    bits = [head, foot, "\n", "\r\n", "\\n", " ", '"', "Proc-Type: 4,ENCRYPTED", "MIIEowIBAAKCAQEA" * 4, "MIIEowIBAAKCAQEA", "QUJD+/==", "words of prose", "-", "é🤖"]
+    texts = ["".join(r.choice(bits) for _ in range(25)) for _ in range(400)]
+    pattern = secrets.KINDS["vendor"][0].replace(secrets.HEADER, secrets.KEY).replace("\\z", "\\Z")
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    for row in secrets.scan(docs).collect():
+        want = [f"vendor:{m.start()}:{m.end()}" for m in re.finditer(pattern, texts[row.doc_id], re.A)]
+        assert [s for s in row.spans.split(",") if s.startswith("vendor")] == want, texts[row.doc_id]
+
+
 def test_private_keys_are_told_apart_by_their_bodies(spark):
     import base64
 
