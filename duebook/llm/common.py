@@ -77,22 +77,25 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str]:
 
 
 class Memory:
-    """A bounded memory of what was computed, in two generations: what is still asked for moves on."""
+    """A bounded memory of what was computed, in two generations: what is still asked for moves on.
+
+    Beyond `most` it holds what one call asks for."""
 
     def __init__(self, most: int):
         self.half, self.young, self.old = most // 2, {}, {}
 
-    def get(self, key):
-        """What is known of a key that is not in `young`, moved there; None if nothing is."""
-        value = self.old.get(key)
-        if value is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
+    def holding(self, asked: set, made) -> dict:
+        """A dictionary that has all that is asked for; `made` computes a list of what is not known."""
         if len(self.young) >= self.half:
             self.old, self.young = self.young, {}
-        self.young[key] = value
+        young, old = self.young, self.old
+        missing = asked - young.keys()
+        for key in missing & old.keys():
+            young[key] = old[key]
+        new = list(missing - old.keys())
+        if new:
+            young.update(zip(new, made(new)))
+        return young
 
 
 def unhurried(run):
