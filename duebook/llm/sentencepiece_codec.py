@@ -38,7 +38,7 @@ from duebook.llm import common
 
 BLANK = "▁"
 #: Units and words whose ids a worker remembers, and pairs whose compatibility it does.
-MEMORY, PAIRS = 750_000, 1_000_000
+MEMORY, PAIRS = 600_000, 1_000_000
 
 #: What stands between words that share a prefix table; no piece has it. Prefixes that no token
 #: ends, and those that anything may follow.
