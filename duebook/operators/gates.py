@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from duebook.operators import compare
+
 
 def violations(df: DataFrame, rules: dict[str, Column], key: Column) -> DataFrame:
     """Rows that break row-level rules, one output row per rule broken, in one pass."""
@@ -117,6 +119,91 @@ def claims(briefs: DataFrame, patterns: list[tuple[str, list[Column]]], text: st
     return briefs.select("id", F.explode(F.array(*out)).alias("c")).select("id", "c.*")
 
 
+def at_precision(value: Column, digits: Column, places: int = 10) -> Column:
+    """A figure at the precision it is printed with; more digits than `places` are compared as they are."""
+    out = value
+    for p in range(places, -1, -1):
+        out = F.when(digits == p, F.bround(value, p)).otherwise(out)
+    return out
+
+
+def claims_table(briefs: DataFrame, claims: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Figures that texts print against a long table of metrics.
+
+    ``briefs`` has (brief, scope, text); ``claims`` (brief, claim, pattern, keys): a pattern has ``{}``
+    where a figure stands, and a key for each says what it is: a metric, ``a - b`` for a
+    difference, ``a%`` for a share as a percentage. ``metrics`` has (scope, metric, value). One row
+    per key, or per claim that cannot be read: (brief, claim, figure, said, should, outcome).
+    Claims, operands and metrics meet by equi joins, so a brief may claim any number of them."""
+    flat = briefs.select("brief", "scope", F.trim(F.regexp_replace("text", r"\s+", " ")).alias("_text"))
+    literal = lambda p: F.concat(F.lit(r"\Q"), F.replace(p, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    parts = F.split(F.trim(F.regexp_replace("pattern", r"\s+", " ")), r"\{\}", -1)
+    rx = F.array_join(F.transform(parts, literal), r"([\d,]+(?:\.\d+)?)")
+    keys = F.filter(F.transform("keys", F.trim), lambda k: k != "")
+    c = claims.select("brief", "claim", rx.alias("_rx"), (F.size(parts) - 1).alias("_figures"), keys.alias("_keys"))
+    j = flat.join(c, "brief")
+    j = j.withColumn("_said", F.rlike("_text", F.col("_rx")))
+    unread = F.when(~F.col("_said"), "not said").when(F.col("_figures") != F.size("_keys"), "figures and keys differ in number")
+    j = j.withColumn("_unread", unread)
+    null = F.lit(None).cast("string")
+    bad = j.where("_unread IS NOT NULL").select("brief", "claim", F.lit(None).cast("int").alias("figure"), null.alias("said"), F.lit(None).cast("double").alias("should"), F.col("_unread").alias("outcome"))
+    each = j.where("_unread IS NULL").select("brief", "scope", "claim", "_text", "_rx", F.posexplode("_keys").alias("_place", "_key"))
+    each = each.withColumn("_difference", F.col("_key").contains(" - "))
+    left = F.when(F.col("_difference"), F.trim(F.substring_index("_key", " - ", 1))).otherwise(F.col("_key"))
+    right = F.when(F.col("_difference"), F.trim(F.expr("substr(_key, instr(_key, ' - ') + 3)")))
+    each = each.select(
+        "brief", "scope", "claim", (F.col("_place") + 1).alias("figure"), "_difference",
+        F.expr("regexp_extract(_text, _rx, _place + 1)").alias("said"),
+        F.regexp_replace(left, "%$", "").alias("_a"), left.endswith("%").alias("_ap"), F.regexp_replace(right, "%$", "").alias("_b"), right.endswith("%").alias("_bp"),
+    )
+    for side in "ab":
+        own = metrics.select("scope", F.col("metric").alias(f"_{side}"), F.col("value").cast("double").alias(f"_v{side}"))
+        each = each.join(own, ["scope", f"_{side}"], "left")
+    value = lambda s: F.when(F.col(f"_{s}p"), F.col(f"_v{s}") * 100).otherwise(F.col(f"_v{s}"))
+    should = F.when(F.col("_difference"), value("a") - value("b")).otherwise(value("a"))
+    got = F.regexp_replace("said", ",", "").try_cast("double")
+    digits = F.length(F.regexp_extract("said", r"\.(\d+)$", 1))
+    want, said = at_precision(should, digits), at_precision(got, digits)
+    outcome = F.when(should.isNull(), "unknown metric").when(want == said, "agrees").otherwise("moved")
+    return each.select("brief", "claim", "figure", "said", want.alias("should"), outcome.alias("outcome")).unionByName(bad)
+
+
+#: Words of a body's name that do not tell it from another (fixed values).
+BODY_NOISE = "joint standing select senate house committee on the and for of into"
+
+
+def body_words(name: Column) -> Column:
+    """The words that tell one body from another, sorted."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(name, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.array_sort(F.array_distinct(F.array_except(words, F.array(*[F.lit(w) for w in BODY_NOISE.split()]))))
+
+
+def publish_tables(
+    index: DataFrame, positions: DataFrame, coverage: DataFrame, rebuilt: DataFrame, register: DataFrame, reports: DataFrame, removals: DataFrame, claimed: DataFrame
+) -> DataFrame:
+    """What does not agree between the tables of one build, as (rule, key).
+
+    ``index`` (doc, label, url) and ``positions`` (doc, label, state, verdict) must hold the same items;
+    ``coverage`` (doc, stated, accepted, part, refused) must be what ``rebuilt`` computes from the
+    positions; a row of ``register`` (id, body, report) may only link to a document of ``reports``
+    (report, body) by its own body; ``removals`` are listed by ``register`` and ``claimed``
+    (register, stated) counts them. Pairs of tables meet by fingerprints of key ranges."""
+    item, doc = F.concat_ws("/", "doc", "label"), F.col("doc").cast("string")
+    rows = violations(index, {"no https link": ~F.coalesce("url", F.lit("")).startswith("https://")}, item)
+    sides = compare.differences(index.select("doc", "label"), positions.select("doc", "label"), ["doc", "label"], [])
+    names = {"left only": "index row without a position", "right only": "position without an index row"}
+    side = F.coalesce(*[F.when(F.col("outcome") == k, v) for k, v in names.items()], F.lit("item held more than once"))
+    unsaid = violations(positions, {"stated position without a verdict": (F.col("state") == "position") & (F.coalesce("verdict", F.lit("")) == "")}, item)
+    added = violations(coverage, {"verdicts do not add up": F.col("accepted") + F.col("part") + F.col("refused") != F.col("stated")}, doc)
+    stale = compare.differences(coverage, rebuilt, ["doc"], ["stated", "accepted", "part", "refused"]).select(F.lit("coverage of another build").alias("rule"), doc.alias("key"))
+    linked = register.select("id", "report", body_words(F.col("body")).alias("_own")).join(reports.select("report", body_words(F.col("body")).alias("_its")), "report")
+    foreign = violations(linked, {"link to a document of another body": F.col("_own") != F.col("_its")}, F.col("id"))
+    listed = removals.groupBy("register").agg(F.count("*").alias("listed"))
+    counted = claimed.join(listed, "register", "full_outer").where(F.coalesce("stated", F.lit(0)) != F.coalesce("listed", F.lit(0)))
+    apart = counted.select(F.lit("removals counted and listed differ").alias("rule"), F.col("register").cast("string").alias("key"))
+    return together([rows, sides.select(side.alias("rule"), item.alias("key")), unsaid, added, stale, foreign, apart])
+
+
 def append_once(held: DataFrame, source: Column) -> DataFrame:
     """One row when rows of a source are already there, so appending again would double them."""
     return (

@@ -631,7 +631,7 @@ def segment_shortest(spark, sf):
         lines(kept, lambda i: F.concat(head(i), F.lit("\n"), words(i), F.lit(" It should\nalso be published. (Chapter 9: Money)\n6.54. The report goes on.\n"))),
     )
     docs = load(spark, sf, "orders").select(key.alias("doc_id"), body.alias("text"))
-    return segments.shortest_usable(docs, "doc_id", "text", LONG_LABEL)
+    return segments.shortest_usable(docs, "doc_id", "text", LONG_LABEL).drop("pos")
 
 
 @query(
