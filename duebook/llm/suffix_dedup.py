@@ -45,8 +45,9 @@ from duebook.llm import common
 LENGTH, GRAM = 100, 32
 #: Strings of one anchor, by where it stands in them.
 PLACES = LENGTH - GRAM + 1
-#: Bytes of text to a bucket; bytes hashed at a time; anchors and rows a shard holds.
-BUCKET, CHUNK, ANCHORS, ROWS = 48 << 20, 1 << 20, 1_000_000, 250_000
+#: Bytes of text to a bucket of anchors, and to one of rows; bytes hashed at a time; anchors and rows
+#: a shard holds. A document's anchors come back as a row a bucket, so their buckets are the larger.
+ANCHOR_BUCKET, BUCKET, CHUNK, ANCHORS, ROWS = 160 << 20, 48 << 20, 1 << 20, 1_000_000, 250_000
 
 #: Symbols of the merge, of eight bytes: the text from an anchor on, and before it.
 RIGHT, LEFT = -(-LENGTH // 8), -(-(PLACES - 1) // 8)
@@ -158,7 +159,7 @@ def unpacked(table: pa.Table, known: bool) -> dict[str, np.ndarray]:
 
     counts = flat("counts", np.int64)
     out = {"doc": np.repeat(flat("ids", np.int64), counts), "hash": np.repeat(flat("hashes", np.int64), counts)}
-    return out | {"keys": flat("keys", np.int64), "at": flat("at", np.int64), "left": raw("left"), "right": raw("right"), "body": raw("body")}
+    return out | {"keys": flat("keys", np.int64), "at": flat("at", np.int32), "left": raw("left"), "right": raw("right"), "body": raw("body")}
 
 
 def spots(doc: np.ndarray, hashes: np.ndarray, values: np.ndarray) -> pa.Table:
@@ -218,7 +219,7 @@ def standing_twice(table: pa.Table) -> pa.Table:
     own = order[np.append(same, False) | np.append(False, same)] if len(k) else order
 
     def rows(x: dict, i) -> np.ndarray:
-        return np.stack([x["at"][i], x["left"][i].astype(np.int64) << 8 | x["right"][i]], 1)
+        return np.stack([x["at"][i], x["left"][i].astype(np.int32) << 8 | x["right"][i]], 1)
 
     every = slice(None)
     return spots(np.concatenate([one["doc"][own], many["doc"]]), np.concatenate([one["hash"][own], many["hash"]]), np.concatenate([rows(one, own), rows(many, every)]))
@@ -375,7 +376,7 @@ def merged(table: pa.Table) -> pa.Table:
     row, far = np.nonzero(edge == 1)
     _, near = np.nonzero(edge == -1)
     found = np.stack([x["at"][row] - near + 1, x["at"][row] - far], 1)
-    own = np.stack([known["at"] - known["left"], known["at"] - known["right"]], 1)
+    own = np.stack([known["at"] - known["left"].astype(np.int32), known["at"] - known["right"].astype(np.int32)], 1)
     return spots(np.concatenate([x["doc"][row], known["doc"]]), np.concatenate([x["hash"][row], known["hash"]]), np.concatenate([found, own]))
 
 
@@ -439,13 +440,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     text = F.coalesce(F.encode(F.col(text_col), "utf-8"), F.lit(b""))
     own = [F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("bytes")]
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    buckets = max(4, -(-total // BUCKET))
+    few, many = (max(4, -(-total // size)) for size in (ANCHOR_BUCKET, BUCKET))
 
-    told = docs.select(*own).mapInArrow(common.unhurried(sent(buckets)), PACK).groupBy("bucket").applyInArrow(standing_twice, SPOTS)
+    told = docs.select(*own).mapInArrow(common.unhurried(sent(few)), PACK).groupBy("bucket").applyInArrow(standing_twice, SPOTS)
     places = told.groupBy("doc", "hash").agg(F.collect_list("spots").alias("spots"))
     # both joins read one exchange of the texts
     dealt = docs.select(*[F.col(c).alias(a) for c, a in aside.items()], *own).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc", "hash")
-    rows = dealt.join(places.hint("shuffle_hash"), ["doc", "hash"]).mapInArrow(common.unhurried(around(buckets)), PACK)
+    rows = dealt.join(places.hint("shuffle_hash"), ["doc", "hash"]).mapInArrow(common.unhurried(around(many)), PACK)
     goes = rows.groupBy("bucket").applyInArrow(merged, SPOTS).groupBy("doc", "hash").agg(F.collect_list("spots").alias("spots"))
     final = dealt.join(goes.hint("shuffle_hash"), ["doc", "hash"], "left")
     schema = T.StructType([T.StructField(a, docs.schema[c].dataType) for c, a in aside.items()] + RESULT.fields)
