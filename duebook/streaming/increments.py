@@ -12,20 +12,31 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from duebook.sources import versions
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder all executors reach: under spark.checkpoint.dir where it is set.
 
-    Only a local session may fall back to a temporary folder.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach: spark.checkpoint.dir, or in a local session one for its lifetime."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="duebook-")
-    return os.path.join(base, "duebook", f"{name}-{uuid.uuid4().hex}")
+        base = getattr(spark.sparkContext, "_duebook_folder", None) or tempfile.mkdtemp(prefix="duebook-")
+        spark.sparkContext._duebook_folder = base
+    return os.path.join(base, "duebook")
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for what one call writes on its way."""
+    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def state_folder(spark: SparkSession, name: str) -> str:
+    """The folder of a memory that lasts: the same one on every call and run."""
+    return os.path.join(shared_folder(spark), "state", name)
 
 
 def landed(spark: SparkSession, folder: str, glob: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -83,19 +94,84 @@ def collect_stream(spark: SparkSession, stream: DataFrame, folder: str) -> DataF
 
 
 def say_once(spark: SparkSession, found: DataFrame, key: list[str], folder: str, condition: Column, mode: str = "update") -> DataFrame:
-    """Report each key once: the keys that meet the condition, less those said in earlier batches."""
+    """Report each key once: the keys that meet the condition, less those said in earlier batches.
+
+    What was said is a versioned table with a partition per batch, checked before it is used. A
+    replayed batch replaces its own partition. Where no version is whole nothing is said."""
     said = f"{folder}/said"
     schema = found.select(*key).schema
 
     def write(df: DataFrame, batch: int) -> None:
+        before, version, _ = versions.read_whole(spark, said)
+        if before is None and versions.versions(spark, said):
+            return
         now = df.where(condition).select(*key).distinct()
-        before = held(spark, said, schema)
-        if "batch" in before.columns:
-            before = before.where(F.col("batch") != batch).drop("batch")
-        now.join(before, key, "left_anti").write.mode("overwrite").parquet(batch_path(said, batch))
+        if before is not None:
+            now = now.join(before.where(F.col("batch") != batch), key, "left_anti")
+        versions.publish(now.withColumn("batch", F.lit(batch).cast("long")), said, ["batch"])
 
     drain(found, folder, write, mode)
-    return held(spark, said, schema).drop("batch")
+    rows, _, _ = versions.read_whole(spark, said)
+    return spark.createDataFrame([], schema) if rows is None else rows.select(*key)
+
+
+def say_new(spark: SparkSession, items: DataFrame, key: list[str], folder: str, run: str) -> tuple[DataFrame, DataFrame]:
+    """Items that no earlier run has said, and notices about the memory.
+
+    The memory is a versioned table of keys with a partition per run, checked before use. A run
+    advances it once: said again under the same name it gives the same items. A damaged version
+    is passed over with a notice for the last whole one; where none is whole nothing is new."""
+    seen, version, notices = versions.read_whole(spark, folder)
+    if seen is None:
+        if versions.versions(spark, folder):
+            return items.limit(0), notices
+        fresh = items.select(*key).distinct()
+    else:
+        done = seen.where(F.col("run") == run)
+        if not done.isEmpty():
+            return items.join(done.select(*key), key, "left_semi"), notices
+        fresh = items.select(*key).distinct().join(seen.select(*key), key, "left_anti")
+    fresh = fresh.withColumn("run", F.lit(run))
+    if fresh.isEmpty():
+        return items.limit(0), notices
+    now = versions.publish(fresh, folder, ["run"])
+    return items.join(versions.read(spark, folder, now, [f"run={run}"]).select(*key), key, "left_semi"), notices
+
+
+ALARM = "source string, day date, outcome string, days int"
+
+
+def alarm(rows: DataFrame, period: int) -> DataFrame:
+    """Raise a source that is silent for ``period`` days, once a period, and say when it is back.
+
+    ``rows`` is a stream of (source, kind, day): kind is seen, or check for the day on which a run
+    looks. Per source Spark's state store keeps the newest day seen, and when it was raised: a
+    later run of the same stream goes on from there. One row of state a source."""
+
+    def judge(key, batches, state):
+        last, raised = state.get if state.exists else (None, None)
+        rows = sorted((d, k != "seen", k) for b in batches for d, k in zip(b["day"], b["kind"]))
+        out = []
+        for day, _, kind in rows:
+            at = day.toordinal()
+            if kind == "seen":
+                last = max(last or at, at)
+                continue
+            silent = None if last is None else at - last
+            if silent is not None and silent < period:
+                if raised is not None:
+                    out.append((key[0], day, "back", silent))
+                raised = None
+            elif raised is None:
+                out.append((key[0], day, "raised", silent))
+                raised = at
+            elif at - raised >= period:
+                out.append((key[0], day, "raised again", silent))
+                raised = at
+        state.update((last, raised))
+        yield pd.DataFrame(out, columns=["source", "day", "outcome", "days"]).astype({"days": "Int32"})
+
+    return rows.groupBy("source").applyInPandasWithState(judge, ALARM, "last int, raised int", "append", "NoTimeout")
 
 
 def daily_counts(stream: DataFrame, time: str, by: list[str], late: str = "30 days") -> DataFrame:
