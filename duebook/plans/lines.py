@@ -99,14 +99,14 @@ def merge_runs(spark, sf):
 
 @query(
     "fold_continuations",
-    """WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN substr(text, 1, 30) || '—' ELSE substr(text, 1, 30) END AS t, role <> 'assistant' AS s FROM conversations),
-    i AS (SELECT *, sum(CAST(s AS INT)) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM t)
-    SELECT conv_id, min(turn) AS turn, count(*) AS rows, regexp_replace(string_agg(regexp_replace(t, '^\\s+|\\s+$', '', 'g'), ' ' ORDER BY turn), '([—–-]) ', '\\1', 'g') AS text FROM i GROUP BY conv_id, island""",
+    """WITH t AS (SELECT conv_id, turn, regexp_replace(CASE WHEN turn % 3 = 0 THEN text || '—' ELSE text END, '^\\s+|\\s+$', '', 'g') AS t, role <> 'assistant' AS s FROM conversations),
+    i AS (SELECT *, sum(CAST(s AS INT)) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM t),
+    j AS (SELECT *, lag(t) OVER (PARTITION BY conv_id, island ORDER BY turn) AS above FROM i)
+    SELECT conv_id, min(turn) AS turn, count(*) AS rows, string_agg(CASE WHEN above IS NULL OR regexp_matches(above, '[—–-]$') THEN t ELSE ' ' || t END, '' ORDER BY turn) AS text FROM j GROUP BY conv_id, island""",
 )
 def fold_continuations(spark, sf):
-    short = F.left("text", F.lit(30))
     c = load(spark, sf, "conversations").select(
-        "conv_id", "turn", "role", F.when(F.col("turn") % 3 == 0, F.concat(short, F.lit("—"))).otherwise(short).alias("text")
+        "conv_id", "turn", "role", F.when(F.col("turn") % 3 == 0, F.concat("text", F.lit("—"))).otherwise(F.col("text")).alias("text")
     )
     return lines.fold_continuations(c, ["conv_id"], "turn", "text", F.col("role") != "assistant")
 

@@ -189,7 +189,7 @@ def label_tally(spark, sf):
 
 @query(
     "join_positions",
-    f"""WITH {FOUND}, pos AS (SELECT doc_id, label, state, verdict FROM judged WHERE state <> 'unreadable')
+    f"""WITH {FOUND.replace("found AS (", "found AS MATERIALIZED (")}, pos AS MATERIALIZED (SELECT doc_id, label, state, verdict FROM judged WHERE state <> 'unreadable')
     SELECT f.doc_id, f.label, f.author, coalesce(state, 'no position row') AS state, coalesce(verdict, '') AS verdict FROM found f LEFT JOIN pos USING (doc_id, label)""",
 )
 def join_positions(spark, sf):
