@@ -90,6 +90,18 @@ def volume(df: DataFrame, key: str, held: str, seen: str, new: str, least_share:
     )
 
 
+def guessed(removed: DataFrame, rows: DataFrame, by: str, basis: str = "title match", least: int = 2, share: float = 0.1) -> DataFrame:
+    """A register whose removals rest on matching words alone more often than is plausible.
+
+    Any number of removals may rest on a link or a hand entry. ``removed`` has (by, basis),
+    ``rows`` (by); one row per register that breaks the rule."""
+    weak = removed.where(F.col("basis") == basis).groupBy(by).agg(F.count("*").alias("weak"))
+    held = rows.groupBy(by).agg(F.count("*").alias("held"))
+    return weak.join(held, by).where(F.col("weak") > F.greatest(F.lit(least), F.floor(F.col("held") * share))).select(
+        F.lit("removals that rest on a title alone").alias("rule"), F.concat_ws("/", F.col(by).cast("string"), "weak", "held").alias("key")
+    )
+
+
 def claims(briefs: DataFrame, patterns: list[tuple[str, list[Column]]], text: str = "text", places: int = 10) -> DataFrame:
     """Figures a text prints against the metrics on its row, at the precision it prints.
 

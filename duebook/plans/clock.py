@@ -874,31 +874,3 @@ def redraw_sample(spark, sf):
     )
     held = load(spark, sf, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
     return listed.join(held, "id", "left").select("id", "pos", "status", F.col("status").isNull().alias("gone"))
-
-
-@query(
-    "floor_summary",
-    """WITH r AS (SELECT o_orderkey AS id, o_orderkey % 6 + 1 AS labels, (o_custkey % 4) + o_orderkey % 6 AS notes FROM orders),
-    w AS (SELECT *, CASE WHEN labels <> notes THEN notes || ' notes for ' || labels || ' labels' WHEN labels < 2 THEN 'a single label' ELSE '' END AS why FROM r)
-    SELECT CASE WHEN why = '' THEN 'counted' WHEN regexp_matches(why, '^[0-9]') THEN 'the notes sentences and the labels disagree' ELSE why END AS reason,
-      count(*) AS documents, CAST(sum(CASE WHEN why = '' THEN labels ELSE 0 END) AS BIGINT) AS floor, CAST(sum(notes) AS BIGINT) AS sentences FROM w GROUP BY 1""",
-)
-def floor_summary(spark, sf):
-    """Verified floor and a histogram of why the others are not counted; reasons that open
-    with a number carry per-document figures and are folded into one."""
-    key = F.col("o_orderkey")
-    r = load(spark, sf, "orders").select((key % 6 + 1).alias("labels"), (F.col("o_custkey") % 4 + key % 6).alias("notes"))
-    why = (
-        F.when(F.col("labels") != F.col("notes"), F.concat(F.col("notes").cast("string"), F.lit(" notes for "), F.col("labels").cast("string"), F.lit(" labels")))
-        .when(F.col("labels") < 2, "a single label")
-        .otherwise("")
-    )
-    w = r.withColumn("why", why)
-    reason = (
-        F.when(F.col("why") == "", "counted").when(F.col("why").rlike(r"^\d"), "the notes sentences and the labels disagree").otherwise(F.col("why"))
-    )
-    return w.groupBy(reason.alias("reason")).agg(
-        F.count("*").alias("documents"),
-        F.sum(F.when(F.col("why") == "", F.col("labels")).otherwise(0)).alias("floor"),
-        F.sum("notes").alias("sentences"),
-    )

@@ -375,13 +375,27 @@ SOURCE_LABEL = r"(?i)Recommendation\s*(?:no\.?\s*)?(\d{1,3}(?:\.\d{1,3})?)"
 )
 def provenance_check(spark, sf):
     """Every quotation against its source, with planted faults: a changed word, a wrong label."""
+    return faulty(spark, sf).groupBy("outcome").agg(F.count("*").alias("rows"))
+
+
+def faulty(spark, sf):
     docs = answers(spark, sf)
     rows = indexed(spark, sf).withColumn(
         "asked", F.when(F.col("doc_id") % 10 == 3, F.regexp_replace("asked", "program", "programme")).otherwise(F.col("asked"))
     ).withColumn(
         "label", F.when(F.col("doc_id") % 10 == 7, F.concat(F.lit("9"), F.col("label"))).otherwise(F.col("label"))
     )
-    return corpus.provenance(rows, docs, SOURCE_LABEL).groupBy("outcome").agg(F.count("*").alias("rows"))
+    return corpus.provenance(rows, docs, SOURCE_LABEL)
+
+
+@query(
+    "verified_share",
+    f"""WITH {FOUND}, v AS (SELECT doc_id % 10 NOT IN (3, 7) AS ok FROM found)
+    SELECT count(*) AS rows, count(*) FILTER (WHERE ok) AS verified, count(*) FILTER (WHERE ok) >= 0.5 * count(*) AS believable FROM v""",
+)
+def verified_share(spark, sf):
+    """The floor under the check itself: with less than half verified, the check is what is broken."""
+    return corpus.verified_share(faulty(spark, sf), 0.5)
 
 
 @query(

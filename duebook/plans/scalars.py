@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from duebook.functions import dates, numbering, text, tokens, wording
-from duebook.operators import status
+from duebook.operators import coverage, status
 from duebook.plans.derived import words_sql
 from duebook.plans.registry import query
 from duebook.sources import load
@@ -412,3 +412,15 @@ ASKED = """CASE k % 7 WHEN 0 THEN 'Wage practices The Government of the The Comm
 )
 def splice_suspect(spark, sf):
     return orders(spark, sf, t=ASKED).select("k", wording.splice_reason(F.col("t")).alias("why"))
+
+
+@query(
+    "layout_suspects",
+    f"""WITH f AS (SELECT o_custkey AS doc_id, k, k % 7 IN (1, 2, 3) AS flagged FROM {orders_sql()} JOIN orders ON o_orderkey = k),
+    d AS (SELECT doc_id FROM f GROUP BY doc_id HAVING count(*) FILTER (WHERE flagged) >= 3 AND count(*) FILTER (WHERE flagged) >= 0.5 * count(*))
+    SELECT doc_id, k, flagged FROM f WHERE doc_id IN (SELECT doc_id FROM d)""",
+)
+def layout_suspects(spark, sf):
+    """All rows of the documents in which half the quotations look read across a column break."""
+    rows = orders(spark, sf, t=ASKED).select("k", "t").join(load(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("doc_id")), "k")
+    return coverage.suspects(rows, "doc_id", wording.splice_reason(F.col("t")) != "").select("doc_id", "k", "flagged")

@@ -231,14 +231,14 @@ def sibling_runon(spark, sf):
 # --- completeness, numbering, totals -----------------------------------------------------------
 
 
-@query(
-    "contiguity_floor",
-    """WITH l AS (SELECT o_orderkey AS doc_id, o_orderkey % 6 + 1 AS k, o_custkey AS p,
+CONTIGUITY_SQL = """WITH l AS (SELECT o_orderkey AS doc_id, o_orderkey % 6 + 1 AS k, o_custkey AS p,
         list_distinct(list_transform(range(1, o_orderkey % 6 + 2), lambda i: CASE WHEN o_custkey % 5 = 0 AND i = 2 THEN i + 7 ELSE i END)) AS labels FROM orders),
       n AS (SELECT doc_id, CASE WHEN p % 7 = 0 THEN 0 ELSE len(labels) END AS labels, p % 7 = 0 OR list_sort(labels) = range(1, len(labels) + 1) AS contiguous, CASE WHEN p % 3 = 0 THEN 1 ELSE len(labels) END AS notes FROM l)
     SELECT doc_id, CAST(labels AS INTEGER) AS labels, CAST(notes AS INTEGER) AS notes, CASE WHEN labels = 0 THEN 'no labels found' WHEN NOT contiguous THEN 'labels have gaps'
-      WHEN notes <> labels THEN notes || ' notes for ' || labels || ' labels' WHEN labels < 2 THEN 'one label proves nothing' ELSE '' END AS why FROM n""",
-)
+      WHEN notes <> labels THEN notes || ' notes for ' || labels || ' labels' WHEN labels < 2 THEN 'one label proves nothing' ELSE '' END AS why FROM n"""
+
+
+@query("contiguity_floor", CONTIGUITY_SQL)
 def contiguity_floor(spark, sf):
     """Form letters whose own numbering proves how many items they close."""
     key, p = F.col("o_orderkey"), F.col("o_custkey")
@@ -273,3 +273,54 @@ def stated_gap(spark, sf):
         F.array_join(F.transform(F.sequence(F.lit(1), F.col("items")), lambda i: F.concat(F.lit("Recommendation "), i.cast("string"), F.lit(" Agreed.\n"))), ""),
     )
     return coverage.stated_gap(docs.select("doc_id", body.alias("text")))
+
+
+@query(
+    "floor_summary",
+    f"""WITH c AS ({CONTIGUITY_SQL}) SELECT CASE WHEN why = '' THEN 'counted' WHEN regexp_matches(why, '^[0-9]') THEN 'the notes sentences and the labels disagree' ELSE why END AS reason,
+      count(*) AS documents, CAST(sum(CASE WHEN why = '' THEN labels ELSE 0 END) AS BIGINT) AS floor, CAST(sum(notes) AS BIGINT) AS sentences FROM c GROUP BY 1""",
+)
+def floor_summary(spark, sf):
+    """Verified floor and a histogram of why the others are not counted; reasons that open
+    with a number carry per-document figures and are folded into one."""
+    why = F.col("why")
+    reason = F.when(why == "", "counted").when(why.rlike(r"^\d"), "the notes sentences and the labels disagree").otherwise(why)
+    return contiguity_floor(spark, sf).groupBy(reason.alias("reason")).agg(
+        F.count("*").alias("documents"), F.sum(F.when(why == "", F.col("labels")).otherwise(0)).alias("floor"), F.sum("notes").alias("sentences")
+    )
+
+
+REFUSED_SQL = f"""{FOUND}, no AS (
+      SELECT doc_id, i::VARCHAR AS label, CASE r WHEN 13 THEN 'characters or words are damaged' ELSE 'no wording of a proposal in it' END AS why, true AS answered FROM body_item WHERE refused
+      UNION ALL SELECT doc_id, g.l::VARCHAR, 'fewer characters than an item needs', false FROM (SELECT DISTINCT doc_id FROM item WHERE doc_id % 4 = 0), range(1, 3) AS g(l)),
+    refused AS (SELECT * FROM no WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.doc_id = no.doc_id AND f.label = no.label))"""
+
+
+@query(
+    "refusal_summary",
+    f"""WITH {REFUSED_SQL} SELECT coalesce(why, 'all') AS why, count(*) AS rows, count(DISTINCT (doc_id, label)) AS labels, count(DISTINCT doc_id) AS documents,
+      count(*) FILTER (WHERE answered) AS answered_rows, count(DISTINCT CASE WHEN answered THEN (doc_id, label) END) AS answered_labels, count(DISTINCT CASE WHEN answered THEN doc_id END) AS answered_documents
+    FROM refused GROUP BY GROUPING SETS ((why), ())""",
+)
+def refusal_summary(spark, sf):
+    """What the documents name and the index does not hold, in all and by reason."""
+    return segments.refusal_totals(segments.refusals(segments.candidates(answers(spark, sf), "doc_id", "text")))
+
+
+DONE_SQL = wording.COMPLETED_VERB.replace("'", "''")
+
+
+@query(
+    "implementation_summary",
+    f"""WITH {FOUND}, a AS (SELECT doc_id, said, r = 8 OR r = 10 AS claims FROM judged WHERE said <> '')
+    SELECT 'answers' AS figure, count(*) AS n FROM a UNION ALL SELECT 'say that this item is done', count(*) FILTER (WHERE claims) FROM a
+    UNION ALL SELECT 'speak of a finished action', count(*) FILTER (WHERE regexp_matches(said, '{DONE_SQL}')) FROM a
+    UNION ALL SELECT 'documents with a section on it', count(*) FILTER (WHERE o_orderkey % 9 = 0 AND o_orderkey IN (SELECT doc_id FROM body_item)) FROM orders""",
+)
+def implementation_summary(spark, sf):
+    """How many answers say that their item is done, against how many speak of anything finished, and
+    the documents that head a section on implementation themselves."""
+    docs = answers(spark, sf)
+    best = segments.best_per_label(segments.candidates(docs, "doc_id", "text"))
+    headed = docs.withColumn("text", F.concat("text", F.when(F.col("doc_id") % 9 == 0, "\nImplementation  status: July\n").otherwise("")))
+    return coverage.implementation(best, headed)
