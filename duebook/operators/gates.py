@@ -151,7 +151,7 @@ def claims_table(briefs: DataFrame, claims: DataFrame, metrics: DataFrame) -> Da
     literal = lambda p: F.concat(F.lit(r"\Q"), F.replace(p, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     parts = F.split(F.trim(F.regexp_replace("pattern", r"\s+", " ")), r"\{\}", -1)
     rx = F.array_join(F.transform(parts, literal), r"([\d,]+(?:\.\d+)?)")
-    keys = F.filter(F.transform("keys", F.trim), lambda k: k != "")
+    keys = F.filter(F.transform("keys", lambda k: F.trim(k)), lambda k: k != "")
     c = claims.select("brief", "claim", rx.alias("_rx"), (F.size(parts) - 1).alias("_figures"), keys.alias("_keys"))
     j = flat.join(c, "brief")
     j = j.withColumn("_said", F.rlike("_text", F.col("_rx")))
