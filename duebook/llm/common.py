@@ -38,11 +38,13 @@ def ready(spark: SparkSession) -> SparkSession:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Only a session without that setting, as in tests, gets a folder of its own."""
+    Only a local session without that setting, as in tests, gets a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="duebook-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc = spark.sparkContext
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        root = sc._duebook_scratch = getattr(sc, "_duebook_scratch", None) or "file://" + tempfile.mkdtemp(prefix="duebook-scratch-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

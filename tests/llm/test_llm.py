@@ -623,3 +623,39 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     ids = b"".join(bytes(r.ids) for r in sorted((r for r in out if r.doc_id == 103), key=lambda r: r.start))
     assert ids == e(b + " [SECRET]'") + np.array([1], "<u4").tobytes()
     assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in out)
+
+
+def test_pipeline_on_nothing_and_on_repeated_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    rows = [(i, f"the {words(80 + i, 60)} and number {i}", "en", "s0", 0) for i in range(30)]
+    rows += [rows[0], rows[1], (None, f"the {words(200, 60)} and number none", "en", "s1", 0), (40, "", "en", "s1", 0), (41, "the w1 w2 w3 and number", None, None, None)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/rows/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/rows/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.settle(stage(spark, docs, str(tmp_path)), "t")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+    kept = sorted(str(r.doc_id) for r in docs.collect())
+    assert kept == sorted([str(i) for i in range(30)] + ["None", "41"])
+
+
+# odd columns
+
+
+def test_codec_on_clashing_columns_and_nothing(spark):
+    path = tokenizer("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "a b", "x", 2.0), (2, None, None, None)], "doc_id long, text string, ids string, decoded double")
+    out = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, path), path)
+    assert sorted(out.columns) == ["decoded", "doc_id", "ids", "text"] and {r.doc_id: r.decoded for r in out.collect()} == {1: "a b", 2: ""}
+    assert sentencepiece_codec.decode(sentencepiece_codec.encode(docs.limit(0), path), path).count() == 0
+    holes = spark.createDataFrame([(1, [5, None, 300]), (2, None), (3, [])], "i long, ids array<int>")
+    assert {r.i: bool(r.decoded) for r in sentencepiece_codec.decode(holes, path).collect()} == {1: True, 2: False, 3: False}
+
+
+def test_archives_and_neighbours_on_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.example/", "<p>x", "c", 5, "r")], "page_id long, url string, html string, urlkey string, payload_bytes int, record_type string")
+    assert [(r.payload_bytes, r.record_type) for r in warc.archive(pages).collect()] == [(4, "response")]
+    vecs = spark.createDataFrame([(i, [float(i), 1.0], 7, 0.5, 3) for i in range(30)], "vec_id long, embedding array<double>, query_id int, score double, rank int")
+    got = ann.nearest(vecs, F.col("vec_id") == 0).collect()
+    assert {r.query_id for r in got} == {0} and sorted(r.rank for r in got) == list(range(1, 21))
