@@ -324,3 +324,21 @@ def implementation_summary(spark, sf):
     best = segments.best_per_label(segments.candidates(docs, "doc_id", "text"))
     headed = docs.withColumn("text", F.concat("text", F.when(F.col("doc_id") % 9 == 0, "\nImplementation  status: July\n").otherwise("")))
     return coverage.implementation(best, headed)
+
+
+SECOND = """CASE k % 4 WHEN 0 THEN 'The Government accepts this recommendation.' WHEN 1 THEN concat('The Government accepts this recommendation. See also recommendation ', k % 6 + 2, '.')
+  WHEN 2 THEN concat(repeat('Background to the matter is set out here. ', 6), 'The Government accepts this recommendation.') ELSE 'Nothing is said about it.' END"""
+
+
+@query(
+    "position_second_reading",
+    """SELECT o_orderkey AS doc_id, (o_orderkey % 6 + 1)::VARCHAR AS label, CASE o_orderkey % 4 WHEN 2 THEN 6 * 42 + 15 WHEN 3 THEN -1 ELSE 0 END AS distance,
+      CASE WHEN o_orderkey % 4 = 1 THEN (o_orderkey % 6 + 2)::VARCHAR ELSE '' END AS names_others,
+      CASE o_orderkey % 4 WHEN 1 THEN 'names recommendation ' || (o_orderkey % 6 + 2) WHEN 2 THEN 'verdict 267 characters in' WHEN 3 THEN 'no verdict found on a second reading' ELSE '' END AS why FROM orders""",
+)
+def position_second_reading(spark, sf):
+    """Stated positions read again: each check of the second reading finds some."""
+    rows = load(spark, sf, "orders").select(F.col("o_orderkey").alias("k")).select(
+        F.col("k").alias("doc_id"), (F.col("k") % 6 + 1).cast("string").alias("label"), F.expr(SECOND).alias("said"), F.lit("position").alias("state")
+    )
+    return coverage.position_checks(rows).select("doc_id", "label", "distance", "names_others", "why")
