@@ -1,7 +1,9 @@
 """The corpus pipeline: five stages over documents, each written and read again.
 
 Language ID, exact dedup, near-dedup, secret scans, packing. A stage takes all that the one before
-kept; all but the last return the columns of documents."""
+kept; all but the last return the columns of documents. Documents without letters, null and empty
+ones among them, go in the first stage; of repeated rows one stays after the second; a row without an
+id is never a near copy; columns beside those read are carried; no documents give no sequences."""
 
 from __future__ import annotations
 
